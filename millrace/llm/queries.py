@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import secret_scan
+from millrace.llm import exact_dedup, secret_scan
 from millrace.llm.common import fresh_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,15 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secret_scan.scan_versions(docs, fresh_dir(spark, "ledger"), content="text", first_run=True)
     return found.select("doc_id", *secret_scan.digest(found))
+
+
+_EXACT = r"""
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS h FROM documents),
+ r AS (SELECT *, row_number() OVER (PARTITION BY h ORDER BY n DESC, doc_id) AS k, first_value(doc_id) OVER (PARTITION BY h ORDER BY n DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size FROM d)
+SELECT doc_id, keep_id, group_size, k = 1 AS kept, h AS text_sha256 FROM r
+"""
+
+
+@register("op3_exact_dedup", _EXACT)
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.dedup(table(spark, sf_dir, "documents"))
