@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, line_runs, secret_scan
+from millrace.llm import exact_dedup, language_id, line_runs, secret_scan
 from millrace.llm.common import fresh_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,17 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_runs.dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def _remainder(column: str, parts: int):
+    """crc32 of the id as text, modulo ``parts``."""
+    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(parts))
+
+
+@register("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit on the documents whose remainder by 4 is not 2; predict all of them."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(_remainder("doc_id", 4) == 2, F.lit(False))
+    model = language_id.fit(docs.select("doc_id", "text", "lang"), ~held_out)
+    return language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
