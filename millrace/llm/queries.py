@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, language_id, line_runs, secret_scan
+from millrace.llm import byte_cnn, exact_dedup, language_id, line_runs, secret_scan
 from millrace.llm.common import fresh_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(_remainder("doc_id", 4) == 2, F.lit(False))
     model = language_id.fit(docs.select("doc_id", "text", "lang"), ~held_out)
     return language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+
+
+@register("op6_quality_classifier")
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit on the labels whose remainder by 3 is not 1; score all documents."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(_remainder("doc_id", 3) == 1, F.lit(False))
+    model = byte_cnn.fit(docs.select("doc_id", "text"), labels.select("doc_id", "quality"), ~held_out)
+    return byte_cnn.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
