@@ -17,6 +17,8 @@ from millrace.llm.common import NO_ID, WHITE, shuffle_partitions, stash, text_of
 #: A text counts as frequent above 1/HOT_SHARE of a mean partition's rows, but never below LEAST_HOT rows.
 HOT_SHARE = 4
 LEAST_HOT = 200
+#: Code points of a text that a splitter may hold.
+HEAD = 32
 
 
 def normalised(text: Column) -> Column:
@@ -57,8 +59,10 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", pa
     rows = rows.withColumn("key", F.xxhash64("norm")).join(F.broadcast(hot), "key", "left")
     rows = rows.select("doc_id", "rank", "norm", slot.cast("int").alias("slot"), F.col("slots").isNotNull().alias("hot"))
 
-    placed = rows.repartitionByRange(n, "norm", "slot")
-    best_first = Window.partitionBy("norm", "slot").orderBy("rank", F.col("doc_id").asc_nulls_last())
+    # The splitters are sampled from bounded keys (the head of the text, then its hash), as samples go to the driver.
+    rows = rows.withColumn("head", F.substring("norm", 1, HEAD)).withColumn("key", F.xxhash64("norm"))
+    placed = rows.repartitionByRange(n, "head", "key", "slot")
+    best_first = Window.partitionBy("head", "key", "slot", "norm").orderBy("rank", F.col("doc_id").asc_nulls_last())
     whole = best_first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     compared = placed.select(
         "doc_id", "hot", F.first("doc_id").over(whole).alias("near_id"), F.first("rank").over(whole).alias("near_rank"),
