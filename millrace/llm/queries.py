@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import byte_cnn, exact_dedup, language_id, line_runs, secret_scan
+from millrace.llm import byte_cnn, exact_dedup, language_id, line_runs, mixing, secret_scan
 from millrace.llm.common import fresh_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,11 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(_remainder("doc_id", 3) == 1, F.lit(False))
     model = byte_cnn.fit(docs.select("doc_id", "text"), labels.select("doc_id", "quality"), ~held_out)
     return byte_cnn.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+
+
+@register("op10_mixing")
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources and languages to their token shares to the power 0.7, topics as they are; every document with its draw."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    out = mixing.mix(docs)
+    return out.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("prob", 6).alias("prob"), F.round("draw", 6).alias("draw"), "drawn")
