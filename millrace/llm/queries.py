@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import byte_cnn, exact_dedup, language_id, line_runs, mixing, secret_scan
+from millrace.llm import byte_cnn, exact_dedup, language_id, line_runs, mixing, pieces, secret_scan
 from millrace.llm.common import fresh_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +111,19 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     out = mixing.mix(docs)
     return out.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("prob", 6).alias("prob"), F.round("draw", 6).alias("draw"), "drawn")
+
+
+#: The vocabulary file; the environment variable names another one.
+PIECE_MODEL = os.environ.get("MILLRACE_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def piece_model(path: str = PIECE_MODEL) -> bytes:
+    """The bytes of the vocabulary file, read on the driver and broadcast."""
+    with open(path, "rb") as f:
+        return f.read()
+
+
+@register("op9_sentencepiece")
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode(docs, piece_model()).drop("text")
