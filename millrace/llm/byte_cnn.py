@@ -138,7 +138,8 @@ def fit(docs: DataFrame, labels: DataFrame, use: Column, *, id_col: str = "doc_i
     left out; a document labelled twice counts twice.
     """
     picked = labels.filter(use & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("double").alias("_label"))
-    joined = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(picked, "_id")
+    picked = picked.orderBy(F.xxhash64("_id"), "_id", "_label").limit(params.max_rows)  # so many narrow rows at most
+    joined = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(picked), "_id")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,7 +147,7 @@ def fit(docs: DataFrame, labels: DataFrame, use: Column, *, id_col: str = "doc_i
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.list_(pa.binary()))], names=["_id", "_label", "chunks"])
 
     rows = joined.select("_id", "_label", "_text").mapInArrow(cut, "_id long, _label double, chunks array<binary>")
-    sample = rows.orderBy(F.xxhash64("_id"), "_id", "_label").limit(params.max_rows).collect()
+    sample = sorted(rows.limit(params.max_rows).collect(), key=lambda r: (r._id, r._label))  # ids that repeat count against the bound
     return train([[bytes(c) for c in r.chunks] for r in sample], np.array([r._label for r in sample], np.float32), params)
 
 
