@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import byte_cnn, exact_dedup, language_id, line_runs, mixing, pieces, secret_scan
+from millrace.llm import byte_cnn, exact_dedup, language_id, line_runs, mixing, ngram_join, pieces, secret_scan
 from millrace.llm.common import fresh_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,22 @@ def piece_model(path: str = PIECE_MODEL) -> bytes:
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pieces.encode(docs, piece_model()).drop("text")
+
+
+_JACCARD = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+ s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+   ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g FROM d),
+ n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+ c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+ l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 90 * (x.n + y.n - shared)),
+ e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+ r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.b) AS component_id FROM d LEFT JOIN n USING (doc_id) JOIN r ON r.a = d.doc_id GROUP BY d.doc_id
+"""
+
+
+@register("op7_ngram_jaccard", _JACCARD)
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.near_components(docs, params=ngram_join.Params(width=3, percent=90))
