@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import byte_cnn, exact_dedup, language_id, line_runs, mixing, ngram_join, pieces, secret_scan
+from millrace.llm import byte_cnn, embed_caps, exact_dedup, language_id, line_runs, mixing, ngram_join, pieces, secret_scan
 from millrace.llm.common import fresh_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +146,19 @@ SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.b) AS component_id F
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ngram_join.near_components(docs, params=ngram_join.Params(width=3, percent=90))
+
+
+_CAPS = r"""
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ g AS (SELECT vec_id, e FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+ l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+ r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+ c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a),
+ n AS (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, component_id, v.vec_id = component_id AS kept FROM v JOIN c USING (vec_id) LEFT JOIN n USING (vec_id)
+"""
+
+
+@register("op4_embedding_neardup", _CAPS)
+def op4_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_caps.near_components(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
