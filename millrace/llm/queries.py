@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import byte_cnn, embed_caps, exact_dedup, language_id, line_runs, mixing, ngram_join, pieces, secret_scan
+from millrace.llm import byte_cnn, embed_caps, exact_dedup, language_id, line_runs, mixing, ngram_join, pieces, pii, secret_scan
 from millrace.llm.common import fresh_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +162,8 @@ SELECT v.vec_id, coalesce(n.n, 0) AS n_links, component_id, v.vec_id = component
 @register("op4_embedding_neardup", _CAPS)
 def op4_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_caps.near_components(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@register("op8_pii")
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
