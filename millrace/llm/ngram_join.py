@@ -171,8 +171,10 @@ def rest_pairs(postings: DataFrame, members: DataFrame, p: Params) -> DataFrame:
     return _ordered(pairs.join(one, ["g1", "c1"]).join(two, ["g2", "c2"]).select("a", "b"))
 
 
-def needed_texts(docs: DataFrame, need: DataFrame) -> DataFrame:
-    """(id, text) of the documents that ``need(id)`` names. Most others stop at a filter of fixed size."""
+def needed_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(id, text) of the documents that pairs(a, b) name. Most others stop at a filter of fixed size; the few that
+    pass it too find no pair."""
+    need = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
     cell = F.pmod(F.xxhash64("doc_id"), F.lit(NEED_CELLS))
     cells = need.select(F.pmod(F.xxhash64("id"), F.lit(NEED_CELLS)).alias("cell")).distinct().toArrow().column("cell").to_numpy()
     wanted = np.zeros(NEED_CELLS, bool)
@@ -184,12 +186,13 @@ def needed_texts(docs: DataFrame, need: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(open_cells[batch.column(2).to_numpy()])).select([0, 1])
 
-    rows = docs.select(F.col("doc_id").alias("id"), "text", cell.alias("cell")).mapInArrow(pick, "id long, text string")
-    return rows.join(need, "id", "left_semi")
+    return stash(docs.select(F.col("doc_id").alias("id"), "text", cell.alias("cell")).mapInArrow(pick, "id long, text string"), "texts")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
     """The pairs (a, b) whose whole sets overlap enough."""
+    pairs = cut(pairs)
+    texts = needed_texts(docs, pairs)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, left = None, None
@@ -232,12 +235,11 @@ def near_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     inside = reps.filter("rep <> gid").select(F.col("gid").alias("a"), F.col("rep").alias("b"))
     open_groups = postings.select("gid").union(inside.select("a")).distinct()
     live = cut(reps.join(open_groups, "gid", "left_semi").select("rep", "gid", "n"))
-    texts = stash(needed_texts(docs, live.select(F.col("rep").alias("id")).distinct()), "texts")
 
-    links = cut(verified(_ordered(inside.union(first_pairs(postings, p))), texts, p))
+    links = cut(verified(_ordered(inside.union(first_pairs(postings, p))), docs, p))
     found = components(links)
     members = cut(live.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("rep", "gid", "n", F.coalesce("component", "rep").alias("component")))
-    more = cut(verified(rest_pairs(postings, members, p), texts, p))
+    more = cut(verified(rest_pairs(postings, members, p), docs, p))
     equal = some.join(reps.select("n", "pkey", "s1", "s2", "rep"), ["n", "pkey", "s1", "s2"]).filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     whole = components(links.union(more).union(equal))
     out = rows.select("doc_id", "n").join(whole.withColumnRenamed("id", "doc_id"), "doc_id", "left")
