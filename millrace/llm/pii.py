@@ -8,6 +8,8 @@ equal pseudonyms in every document, whatever their punctuation. Without the key
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,11 @@ DATE_FORMS = ((r"^[0-9]{4}-", "yyyy-MM-dd"), (r"^[0-9]{4}/", "yyyy/MM/dd"), (r"^
 FIRST_DAY, LOW_DAYS, HIGH_DAYS = "1800-01-01", 189, 773
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it stands in there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _code(key: str, kind: str, size: Column | int, i: Column, other: Column) -> Column:
     """64 hex digits from the key, the kind and length of the value, the round and the other half."""
     size = size if isinstance(size, Column) else F.lit(size)
@@ -37,23 +44,30 @@ def _shift(part: Column, code: Column, alphabet: str) -> Column:
     """Each character moved on in the alphabet by a byte of the code."""
     letters = F.lit(alphabet)
 
-    def move(j: Column) -> Column:
-        step = F.conv(F.substr(code, F.pmod(j - 1, F.lit(32)) * 2 + 1, F.lit(2)), 16, 10).cast("int")
-        return F.substr(letters, F.pmod(F.instr(letters, F.substr(part, j, F.lit(1))) - 1 + step, F.lit(len(alphabet))) + 1, F.lit(1))
+    def moved(code: Column) -> Column:
+        def move(j: Column) -> Column:
+            step = F.conv(F.substr(code, F.pmod(j - 1, F.lit(32)) * 2 + 1, F.lit(2)), 16, 10).cast("int")
+            return F.substr(letters, F.pmod(F.instr(letters, F.substr(part, j, F.lit(1))) - 1 + step, F.lit(len(alphabet))) + 1, F.lit(1))
 
-    return F.when(F.length(part) == 0, F.lit("")).otherwise(F.array_join(F.transform(F.sequence(F.lit(1), F.length(part)), move), ""))
+        return F.array_join(F.transform(F.sequence(F.lit(1), F.length(part)), move), "")
+
+    return F.when(F.length(part) == 0, F.lit("")).otherwise(let(code, moved))
 
 
 def feistel(value: Column, alphabet: str, key: str, kind: str) -> Column:
     """A keyed permutation of the strings over the alphabet that have the value's length."""
-    size = F.length(value)
-    half = F.floor(size / 2).cast("int")
-    start = F.struct(F.substr(value, F.lit(1), half).alias("l"), F.substr(value, half + 1, size - half).alias("r"))
 
-    def step(s: Column, i: Column) -> Column:
-        return F.struct(s["r"].alias("l"), _shift(s["l"], _code(key, kind, size, i, s["r"]), alphabet).alias("r"))
+    def turn(value: Column) -> Column:
+        size = F.length(value)
+        half = F.floor(size / 2).cast("int")
+        start = F.struct(F.substr(value, F.lit(1), half).alias("l"), F.substr(value, half + 1, size - half).alias("r"))
+
+        def step(s: Column, i: Column) -> Column:
+            return F.struct(s["r"].alias("l"), _shift(s["l"], _code(key, kind, size, i, s["r"]), alphabet).alias("r"))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, lambda s: F.concat(s["l"], s["r"]))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, lambda s: F.concat(s["l"], s["r"]))
+
+    return let(value, turn)
 
 
 def feistel_day(day: Column, key: str) -> Column:
@@ -64,21 +78,24 @@ def feistel_day(day: Column, key: str) -> Column:
 
     def step(s: Column, i: Column) -> Column:
         high = F.pmod(s["high"] + draw(i, s["low"], HIGH_DAYS), F.lit(HIGH_DAYS)).cast("long")
-        return F.struct(high.alias("high"), F.pmod(s["low"] + draw(i, high, LOW_DAYS), F.lit(LOW_DAYS)).cast("long").alias("low"))
+        return let(high, lambda h: F.struct(h.alias("high"), F.pmod(s["low"] + draw(i, h, LOW_DAYS), F.lit(LOW_DAYS)).cast("long").alias("low")))
 
     start = F.struct(F.floor(day / LOW_DAYS).cast("long").alias("high"), F.pmod(day, F.lit(LOW_DAYS)).cast("long").alias("low"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, lambda s: (s["high"] * LOW_DAYS + s["low"]).cast("int"))
 
 
 def luhn_sum(digits: Column) -> Column:
-    size = F.length(digits)
+    def of(digits: Column) -> Column:
+        size = F.length(digits)
+
+        def add(total: Column, j: Column) -> Column:
+            d = F.substr(digits, j, F.lit(1)).cast("int")
+            twice = F.when(d > 4, d * 2 - 9).otherwise(d * 2)
+            return total + F.when(F.pmod(size - j, F.lit(2)) == 1, twice).otherwise(d)
 
-    def add(total: Column, j: Column) -> Column:
-        d = F.substr(digits, j, F.lit(1)).cast("int")
-        twice = F.when(d > 4, d * 2 - 9).otherwise(d * 2)
-        return total + F.when(F.pmod(size - j, F.lit(2)) == 1, twice).otherwise(d)
+        return F.aggregate(F.sequence(F.lit(1), size), F.lit(0), add)
 
-    return F.aggregate(F.sequence(F.lit(1), size), F.lit(0), add)
+    return let(digits, of)
 
 
 def _only(text: Column, keep: str) -> Column:
@@ -88,11 +105,14 @@ def _only(text: Column, keep: str) -> Column:
 def _refill(shape: Column, letters: Column, keep: str) -> Column:
     """``shape`` with its characters of the class replaced by ``letters``, one after the other."""
 
-    def put(j: Column) -> Column:
-        ch = F.substr(shape, j, F.lit(1))
-        return F.when(ch.rlike(f"^[{keep}]$"), F.substr(letters, F.length(_only(F.substr(shape, F.lit(1), j), keep)), F.lit(1))).otherwise(ch)
+    def fill(letters: Column) -> Column:
+        def put(j: Column) -> Column:
+            ch = F.substr(shape, j, F.lit(1))
+            return F.when(ch.rlike(f"^[{keep}]$"), F.substr(letters, F.length(_only(F.substr(shape, F.lit(1), j), keep)), F.lit(1))).otherwise(ch)
+
+        return F.array_join(F.transform(F.sequence(F.lit(1), F.length(shape)), put), "")
 
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(shape)), put), "")
+    return let(letters, fill)
 
 
 def _date(m: Column) -> Column:
@@ -125,14 +145,18 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
     digits = _only(m, "0-9")
     local = F.lower(F.substring_index(m, "@", 1))
     email = F.concat(_refill(local, feistel(_only(local, "a-z0-9"), ALNUM, key, "email"), "a-z0-9"), F.lit("@"), F.substring_index(m, "@", -1))
-    new_day = F.date_add(F.lit(FIRST_DAY).cast("date"), feistel_day(_day(m), key))
-    date = F.lit(None).cast("string")
-    for form, pattern in DATE_FORMS:
-        date = F.when(m.rlike(form), F.date_format(new_day, pattern)).otherwise(date)
+
+    def dated(day: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for form, pattern in DATE_FORMS:
+            out = F.when(m.rlike(form), F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), day), pattern)).otherwise(out)
+        return out
+
+    date = let(feistel_day(_day(m), key), dated)
     country = F.when(m.startswith("+1"), F.lit("1")).otherwise(F.lit(""))
     phone = _refill(m, F.concat(country, feistel(F.substr(digits, F.length(country) + 1), DIGITS, key, "phone")), "0-9")
     payload = feistel(F.substr(digits, F.lit(1), F.length(digits) - 1), DIGITS, key, "card")
-    card = F.concat(payload, F.pmod(10 - luhn_sum(F.concat(payload, F.lit("0"))) % 10, F.lit(10)).cast("string"))
+    card = let(payload, lambda p: F.concat(p, F.pmod(10 - luhn_sum(F.concat(p, F.lit("0"))) % 10, F.lit(10)).cast("string")))
     packed = F.array_join(F.transform(F.split(m, r"\."), lambda o: F.lpad(F.lower(F.hex(o.cast("int"))), 2, "0")), "")
     pairs = F.regexp_extract_all(feistel(packed, HEX, key, "ip"), F.lit("[0-9a-f]{2}"), F.lit(0))
     ip = F.array_join(F.transform(pairs, lambda h: F.conv(h, 16, 10)), ".")
