@@ -58,7 +58,7 @@ def test_lists(spark, tmp_path):
 
 
 def test_streamed_outcomes(spark, tmp_path):
-    rows = [(i, i * 60_000_000, "w", "p/a", "p", "v", "fetched" if i % 2 else "bot_check", 10, 1.0, 5) for i in range(30)]
+    rows = [(i, (1_700_000 + i) * 60_000_000, "w", "p/a", "p", "v", "fetched" if i % 2 else "bot_check", 10, 1.0, 5) for i in range(30)]
     spark.createDataFrame(rows + rows[:5], schemas.ATTEMPT).coalesce(1).write.json(str(tmp_path / "log"))
     stream = spark.readStream.schema(schemas.ATTEMPT).json(str(tmp_path / "log"))
     query = outcomes.hourly_outcomes(stream, length="1 hour", slide="1 hour")
