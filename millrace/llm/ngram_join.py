@@ -5,8 +5,11 @@
    Documents with the same size and prefix form one group; equal sets count once.
 3. Groups are posted under their prefix shingles; size and position of a shared shingle filter group pairs.
 4. First, each list of groups is chained and tied to its first group, a number of pairs in proportion to the list.
-   These are verified and components formed. Only then are the remaining pairs of a list made, and only between
-   members of different components, so a large group of mutual copies never yields all of its pairs.
+   These are verified and components formed. Long lists that still hold many components (near copies that differ
+   in other places each) are shuffled, each member meets its next neighbours, and components are formed again.
+   Only then are the remaining pairs of a list made, and only between members of different components, so a large
+   group of near copies never yields all of its pairs.
+   Parity sketches drop pairs whose sets certainly differ in too many shingles.
 5. Every link stems from an exact comparison of two whole sets.
 """
 
@@ -30,6 +33,11 @@ from millrace.llm.shingles import shingle_set
 LEAST_BITS, MOST_BITS, BLOCK_BITS = 16, 22, 12
 #: Lists of more groups are chained in slots of about this size, and the slots' first groups among each other.
 SLOT = 4096
+#: Lists with more members outside their commonest component are shuffled before their remaining pairs are made, and
+#: each member meets so many of the next ones.
+LONG_MIXED, NEIGHBOURS = 32, 2
+#: A set's parity sketch: for each of 64 * PARITY_LONGS cells, whether it holds an odd number of the set's shingles.
+PARITY_LONGS = 8
 #: Cells of the filter that tells which texts verification needs; other texts may pass, none that is needed fails.
 NEED_CELLS = 1 << 20
 
@@ -90,14 +98,15 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def heads(docs: DataFrame, sketch: np.ndarray, p: Params) -> DataFrame:
-    """(doc_id, n, s1, s2, pkey, prefix): size, digest of the set, hash of size and prefix, the prefix itself."""
+    """(doc_id, n, s1, s2, pkey, parity, prefix): size, digest of the set, hash of size and prefix, parity sketch, the prefix itself."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
+    names = [f"p{i}" for i in range(PARITY_LONGS)]
 
     def head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         mask = np.uint64(len(counts) - 1)
         for batch in batches:
-            n, s1, s2, pkey, prefix = [], [], [], [], []
+            n, s1, s2, pkey, prefix, parity = [], [], [], [], [], []
             for text in _texts(batch.column(1)):
                 tokens = shingle_set(text, p.width)
                 size = len(tokens)
@@ -109,12 +118,27 @@ def heads(docs: DataFrame, sketch: np.ndarray, p: Params) -> DataFrame:
                 s2.append(whole[1])
                 pkey.append(np.frombuffer(hashlib.blake2b(first.tobytes() + size.to_bytes(8, "little"), digest_size=8).digest(), np.int64)[0])
                 prefix.append(first.astype(np.int64))
+                parity.append(parity_sketch(tokens))
             offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in prefix])]).astype(np.int32))
             values = pa.array(np.concatenate([np.zeros(0, np.int64), *prefix]))
             columns = [batch.column(0), *(pa.array(np.array(x, np.int64)) for x in (n, s1, s2, pkey)), pa.ListArray.from_arrays(offsets, values)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "s1", "s2", "pkey", "prefix"])
+            cells = np.array(parity, np.int64).reshape(-1, PARITY_LONGS)
+            columns.append(pa.StructArray.from_arrays([pa.array(cells[:, i]) for i in range(PARITY_LONGS)], names))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "s1", "s2", "pkey", "prefix", "parity"])
 
-    return docs.select("doc_id", "text").mapInArrow(head, "doc_id long, n long, s1 long, s2 long, pkey long, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(head, f"doc_id long, n long, s1 long, s2 long, pkey long, prefix array<long>, parity struct<{', '.join(f'{x}: long' for x in names)}>")
+
+
+def parity_sketch(tokens: np.ndarray) -> np.ndarray:
+    bits = 64 * PARITY_LONGS
+    odd = np.bincount((tokens >> np.uint64(32)).astype(np.int64) % bits, minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def may_agree(p: Params, n1: Column, one: Column, n2: Column, two: Column) -> Column:
+    """Two sets differ in at least as many shingles as their parity sketches in cells; true where a sketch is null."""
+    differ = sum((F.bit_count(one[f"p{i}"].bitwiseXOR(two[f"p{i}"])) for i in range(1, PARITY_LONGS)), F.bit_count(one["p0"].bitwiseXOR(two["p0"])))
+    return F.coalesce((100 + p.percent) * differ <= (100 - p.percent) * (n1 + n2), F.lit(True))
 
 
 def may_link(p: Params, n1: Column, p1: Column, n2: Column, p2: Column) -> Column:
@@ -149,26 +173,53 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def mixed_lists(postings: DataFrame, members: DataFrame) -> DataFrame:
+    """(token, gid, n, pos, component, rep, parity, common, outside): the lists that hold several components, whole.
+
+    members: (rep, gid, n, parity, component). Members of one group and component are one row with its smallest rep,
+    and with the parity sketch if it is the only one; common is the list's commonest component, outside the number of members that are not in it. A group is also a list of
+    its own, as its members share all of their prefix.
+    """
+    parts = cut(members.groupBy("gid", "n", "component").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("rep"), F.first("parity").alias("parity")))
+    parts = parts.withColumn("parity", F.when(F.col("size") == 1, F.col("parity")))
+    within = parts.select(F.xxhash64(F.lit("group"), F.col("gid")).alias("token"), "gid", "n", F.lit(0).cast("long").alias("pos"), "component", "size", "rep", "parity")
+    rows = postings.select("token", "gid", F.col("pos").cast("long").alias("pos")).join(parts, "gid").select("token", "gid", "n", "pos", "component", "size", "rep", "parity").union(within)
+    tally = rows.groupBy("token", "component").agg(F.sum("size").alias("size"))
+    mixed = tally.groupBy("token").agg(F.count(F.lit(1)).alias("kinds"), F.max_by("component", F.struct("size", "component")).alias("common"), (F.sum("size") - F.max("size")).alias("outside")).filter("kinds > 1")
+    return stash(rows.join(mixed.select("token", "common", "outside"), "token").drop("size"), "mixed-lists")
+
+
+def spread_pairs(postings: DataFrame, members: DataFrame, p: Params) -> DataFrame:
+    """(a, b): in long lists of many components, each member with its next neighbours in an order of its list's own."""
+    rows = mixed_lists(postings, members).filter(F.col("outside") > LONG_MIXED)
+    slot = F.pmod(F.xxhash64("gid"), F.ceil(F.col("outside") / F.lit(float(SLOT)))).cast("long")
+    shuffled = Window.partitionBy("token", "slot").orderBy("turn", "rep")
+    me = F.struct("rep", "n", "pos", "component", "parity")
+    rows = rows.select("token", slot.alias("slot"), F.xxhash64("rep", "token").alias("turn"), "rep", me.alias("me"))
+    ahead = F.array(*[F.lag("me", i).over(shuffled) for i in range(1, NEIGHBOURS + 1)])
+    pairs = rows.select("me", ahead.alias("ahead")).select("me", F.explode("ahead").alias("other"))
+    pairs = pairs.filter((F.col("me.component") != F.col("other.component")) & may_link(p, F.col("me.n"), F.col("me.pos"), F.col("other.n"), F.col("other.pos")))
+    pairs = pairs.filter(may_agree(p, F.col("me.n"), F.col("me.parity"), F.col("other.n"), F.col("other.parity")))
+    return _ordered(pairs.select(F.col("me.rep").alias("a"), F.col("other.rep").alias("b")))
+
+
 def rest_pairs(postings: DataFrame, members: DataFrame, p: Params) -> DataFrame:
     """(a, b): members of different components whose groups share a prefix shingle and may link.
 
-    members: (rep, gid, n, component). A list is paired between the part outside its commonest component and all
+    members: (rep, gid, n, parity, component). A list is paired between the part outside its commonest component and all
     of it, within bands of size; lists of one component are left out before any pair is made.
     """
-    parts = cut(members.groupBy("gid", "n", "component").agg(F.count(F.lit(1)).alias("size")))
-    within = parts.select(F.xxhash64(F.lit("group"), F.col("gid")).alias("token"), "gid", "n", F.lit(0).cast("long").alias("pos"), "component", "size")
-    rows = postings.select("token", "gid", F.col("pos").cast("long").alias("pos")).join(parts, "gid").select("token", "gid", "n", "pos", "component", "size").union(within)
-    tally = rows.groupBy("token", "component").agg(F.sum("size").alias("size"))
-    mixed = tally.groupBy("token").agg(F.count(F.lit(1)).alias("kinds"), F.max_by("component", F.struct("size", "component")).alias("common")).filter("kinds > 1")
-    rows = stash(rows.join(mixed.select("token", "common"), "token"), "mixed-lists")
+    rows = mixed_lists(postings, members)
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / p.percent)))).cast("long")
-    right = rows.select("token", band.alias("band"), F.struct("gid", "n", "pos", "component", (F.col("component") == F.col("common")).alias("in_common")).alias("r"))
-    left = rows.filter("component <> common").select("token", F.explode(F.array(band - 1, band, band + 1)).alias("band"), F.struct("gid", "n", "pos", "component").alias("l"))
+    right = rows.select("token", band.alias("band"), F.struct("gid", "n", "pos", "component", "parity", (F.col("component") == F.col("common")).alias("in_common")).alias("r"))
+    left = rows.filter("component <> common").select("token", F.explode(F.array(band - 1, band, band + 1)).alias("band"), F.struct("gid", "n", "pos", "component", "parity").alias("l"))
     once = F.col("r.in_common") | (F.col("l.gid") < F.col("r.gid")) | ((F.col("l.gid") == F.col("r.gid")) & (F.col("l.component") < F.col("r.component")))
     pairs = left.join(right, ["token", "band"]).filter((F.col("l.component") != F.col("r.component")) & once & may_link(p, F.col("l.n"), F.col("l.pos"), F.col("r.n"), F.col("r.pos")))
+    pairs = pairs.filter(may_agree(p, F.col("l.n"), F.col("l.parity"), F.col("r.n"), F.col("r.parity")))
     pairs = pairs.select(F.col("l.gid").alias("g1"), F.col("l.component").alias("c1"), F.col("r.gid").alias("g2"), F.col("r.component").alias("c2")).distinct()
-    one, two = (members.select(F.col("gid").alias(f"g{i}"), F.col("component").alias(f"c{i}"), F.col("rep").alias(x)) for i, x in ((1, "a"), (2, "b")))
-    return _ordered(pairs.join(one, ["g1", "c1"]).join(two, ["g2", "c2"]).select("a", "b"))
+    one, two = (members.select(F.col("gid").alias(f"g{i}"), F.col("component").alias(f"c{i}"), F.col("rep").alias(x), F.col("n").alias(f"n{i}"), F.col("parity").alias(f"parity{i}")) for i, x in ((1, "a"), (2, "b")))
+    pairs = pairs.join(one, ["g1", "c1"]).join(two, ["g2", "c2"]).filter(may_agree(p, F.col("n1"), F.col("parity1"), F.col("n2"), F.col("parity2")))
+    return _ordered(pairs.select("a", "b"))
 
 
 def needed_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -228,17 +279,24 @@ def near_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     some = rows.filter("n > 0")
     groups = some.groupBy("n", "pkey").agg(F.min("doc_id").alias("gid"), F.first("prefix").alias("prefix"))
     postings = stash(shared_postings(groups), "postings")
-    reps = some.groupBy("n", "pkey", "s1", "s2").agg(F.min("doc_id").alias("rep"))
+    reps = some.groupBy("n", "pkey", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("parity").alias("parity"))
     reps = reps.groupBy("n", "pkey").agg(F.min("rep").alias("gid")).join(reps, ["n", "pkey"])
-    reps = stash(reps.select("rep", "gid", "n", "pkey", "s1", "s2"), "reps")
+    reps = stash(reps.select("rep", "gid", "n", "pkey", "s1", "s2", "parity"), "reps")
 
     inside = reps.filter("rep <> gid").select(F.col("gid").alias("a"), F.col("rep").alias("b"))
     open_groups = postings.select("gid").union(inside.select("a")).distinct()
-    live = cut(reps.join(open_groups, "gid", "left_semi").select("rep", "gid", "n"))
+    live = cut(reps.join(open_groups, "gid", "left_semi").select("rep", "gid", "n", "parity"))
+
+    def placed(links: DataFrame) -> DataFrame:
+        """The live members with their component by the links."""
+        return cut(live.join(components(links).withColumnRenamed("id", "rep"), "rep", "left").select("rep", "gid", "n", "parity", F.coalesce("component", "rep").alias("component")))
 
     links = cut(verified(_ordered(inside.union(first_pairs(postings, p))), docs, p))
-    found = components(links)
-    members = cut(live.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("rep", "gid", "n", F.coalesce("component", "rep").alias("component")))
+    members = placed(links)
+    spread = cut(spread_pairs(postings, members, p))
+    if spread.head(1):
+        links = cut(links.union(verified(spread, docs, p)))
+        members = placed(links)
     more = cut(verified(rest_pairs(postings, members, p), docs, p))
     equal = some.join(reps.select("n", "pkey", "s1", "s2", "rep"), ["n", "pkey", "s1", "s2"]).filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     whole = components(links.union(more).union(equal))
