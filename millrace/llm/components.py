@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from millrace.llm.common import cut
 
 MAX_ROUNDS = 100
+#: Links that one task takes; a small table stays in few partitions, as each costs files in every shuffle of every round.
+TASK_LINKS = 100_000
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -20,16 +22,18 @@ def components(links: DataFrame) -> DataFrame:
     """
     both = links.filter("a IS NOT NULL AND b IS NOT NULL AND a <> b").select("a", "b")
     edges = cut(both.union(both.select("b", "a")).distinct())
-    labels = cut(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("label")))
+    tasks = -(-edges.count() // TASK_LINKS) or 1
+    edges = edges.coalesce(tasks)
+    labels = cut(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("label")).coalesce(tasks))
     for _ in range(MAX_ROUNDS):
-        near = edges.join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
-        seen = labels.join(near, "id")
+        near = edges.join(labels.select(F.col("id").alias("b"), "label"), "b").coalesce(tasks).groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
+        seen = labels.join(near, "id").coalesce(tasks)
         offers = seen.select("id", F.least("label", "near").alias("offer"))
         offers = offers.union(seen.filter("near < label").select(F.col("label").alias("id"), F.col("near").alias("offer")))
         ahead = labels.select(F.col("id").alias("label"), F.col("label").alias("offer")).filter("offer < label")
-        offers = offers.union(labels.join(ahead, "label").select("id", "offer"))
+        offers = offers.union(labels.join(ahead, "label").select("id", "offer").coalesce(tasks))
         best = offers.groupBy("id").agg(F.min("offer").alias("offer"))
-        new = cut(labels.join(best, "id").select("id", F.least("label", "offer").alias("label"), (F.col("offer") < F.col("label")).alias("moved")))
+        new = cut(labels.join(best, "id").select("id", F.least("label", "offer").alias("label"), (F.col("offer") < F.col("label")).alias("moved")).coalesce(tasks))
         labels = new.select("id", "label")
         if not new.filter("moved").head(1):
             return labels.select("id", F.col("label").alias("component"))
