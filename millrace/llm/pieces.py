@@ -26,7 +26,7 @@ NORMAL, UNKNOWN, BYTE = 1, 2, 6
 #: A word longer than this is segmented by itself, so that one long word does not widen the whole batch.
 LONG_WORD = 64
 #: Distinct words kept per task between batches; when full, the store starts anew (results do not depend on it).
-KEEP_WORDS = 400_000
+KEEP_WORDS = 50_000
 LOW = -1e30
 
 
