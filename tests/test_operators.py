@@ -199,3 +199,17 @@ def test_shredding(spark):
     bodies = ['{"items": [{"id": "a", "contentDetails": {"duration": "PT5S"}}, {"snippet": {}}]}', "not json", "{}", '{"items": [{"id": "b", "status": {"madeForKids": "maybe"}}]}']
     out = {r.id: (r.duration_s, r.live, r.made_for_kids, r.title) for r in shred.items(spark.createDataFrame([(b,) for b in bodies], "body string")).collect()}
     assert out == {"a": (5, "none", False, ""), "b": (0, "none", False, "")}
+
+
+def test_whole_queue_log_is_folded(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from millrace.plans import catalogue
+    from millrace.sources import fixtures
+
+    log = fixtures.queue_events(spark, sf_dir)
+    state = catalogue.QUERIES["queue_state_all"](spark, sf_dir)
+    assert log.filter(F.col("at_us") > catalogue.AS_OF_US).count() > 0
+    assert state.agg(F.sum("attempts")).first()[0] == log.filter("kind = 'lease'").count()
+    assert catalogue.QUERIES["lease_intervals_all"](spark, sf_dir).count() == log.filter("kind = 'lease'").count()
+    assert state.filter("fetch_state IS NOT NULL").count() == log.filter("kind = 'finish'").select("video").distinct().count()
