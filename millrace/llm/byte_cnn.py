@@ -3,20 +3,23 @@
 The document's UTF-8 bytes are cut into overlapping chunks that cover all of it. Learned filters of ``width``
 bytes run over every position (a filter is one weight per offset and byte value, so a position's response is a sum
 of table rows); each chunk keeps every filter's largest response, rectified; the mean over the chunks goes through
-a logistic layer. Training uses a bounded sample of labelled rows and a bounded number of chunks of each, spread
-over the whole document; scoring reads every byte.
+a logistic layer. Training uses a bounded sample of labelled rows and every chunk of each; scoring reads every byte.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import tempfile
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import stash
+
 _BLOCK = 128  # half-chunks convolved at once
 
 
@@ -26,9 +29,8 @@ class Params:
     width: int = 5
     #: A chunk spans two half-chunks; neighbouring chunks share one.
     half: int = 256
-    #: The bound of the training sample: labelled rows (those with the smallest hash of their id) and chunks of each.
+    #: The bound of the training sample: labelled rows (those with the smallest hash of their id).
     max_rows: int = 2000
-    max_chunks: int = 8
     epochs: int = 10
     batch: int = 64
     rate: float = 0.02
@@ -76,53 +78,62 @@ def probability(text: bytes, m: Model) -> float:
     return float(1.0 / (1.0 + np.exp(-np.clip(z, -500, 500))))
 
 
-def training_chunks(text: bytes, p: Params) -> list[bytes]:
-    """At most ``max_chunks`` of the text's chunks, evenly spread from its start to its end."""
-    n = max(1, -(-len(text) // p.half) - 1)
-    at = np.unique(np.linspace(0, n - 1, min(n, p.max_chunks)).round().astype(int))
-    return [text[i * p.half : (i + 2) * p.half] for i in at]
-
-
-def train(chunks: list[list[bytes]], labels: np.ndarray, p: Params) -> Model:
-    """Adam on the logistic loss. One label only (or no rows) gives a constant model of that rate."""
+def text_chunks(text: bytes, table: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
+    """(chunks, filters) twice: each filter's largest response in every chunk of the text, and where it first occurs."""
+    data = np.frombuffer(text, np.uint8)
+    step, filters = p.half * _BLOCK, table.shape[2]
+    tops, places = [np.zeros((0, filters), np.float32)], [np.zeros((0, filters), np.int64)]
+    for at in range(0, len(data), step):
+        got = responses(data[at : at + step + p.width - 1], table)[: min(step, len(data) - at)]
+        whole = len(got) // p.half
+        for first, part in ((0, got[: whole * p.half].reshape(whole, p.half, filters)), (whole, got[None, whole * p.half :])):
+            if part.size:
+                turned = np.ascontiguousarray(part.transpose(0, 2, 1))
+                best = turned.argmax(axis=2)
+                tops.append(np.take_along_axis(turned, best[:, :, None], axis=2)[:, :, 0])
+                places.append(best + (at + p.half * (first + np.arange(len(part))))[:, None])
+    top, place = np.concatenate(tops), np.concatenate(places)
+    if len(top) > 1:
+        earlier = top[:-1] >= top[1:]
+        top, place = np.where(earlier, top[:-1], top[1:]), np.where(earlier, place[:-1], place[1:])
+    return top, place
+
+
+def train(texts: Sequence[Iterable[bytes]], labels: np.ndarray, p: Params) -> Model:
+    """Adam on the logistic loss over all bytes of each text. One label only (or no rows) gives a constant model of that rate.
+
+    Each item of ``texts`` gives the pieces of one text, and is asked for once an epoch; one text is held at a time.
+    """
     rng = np.random.default_rng(p.seed)
-    size = 2 * p.half
-    flat = [c for each in chunks for c in each]
-    first = np.concatenate([[0], np.cumsum([len(c) for c in chunks])]).astype(int)
-    lengths = np.array([len(c) for c in flat], int)
     weights = {"table": rng.normal(0, 0.3, (p.width, 256, p.filters)).astype(np.float32), "bias": np.zeros(p.filters, np.float32), "out": rng.normal(0, 0.3, p.filters).astype(np.float32), "shift": np.zeros(1, np.float32)}
     rate = float(labels.mean()) if len(labels) else 0.5
     if rate in (0.0, 1.0) or not len(labels):
         return Model(weights["table"], weights["bias"], np.zeros(p.filters), float(np.log(min(max(rate, 0.01), 0.99) / (1 - min(max(rate, 0.01), 0.99)))), p)
-    data = np.zeros((len(flat), size + p.width), np.uint8)
-    for i, c in enumerate(flat):
-        data[i, : len(c)] = np.frombuffer(c, np.uint8)
+    cells = 256 * p.filters
     m1, m2 = ({k: np.zeros_like(v) for k, v in weights.items()} for _ in range(2))
     t = 0
     for _ in range(p.epochs):
-        for rows in np.array_split(rng.permutation(len(chunks)), max(1, len(chunks) // p.batch)):
-            which = np.concatenate([np.arange(first[r], first[r + 1]) for r in rows])
-            doc = np.repeat(np.arange(len(rows)), [first[r + 1] - first[r] for r in rows])
-            share = 1.0 / np.bincount(doc)[doc]
-            tops, best = np.empty((len(which), p.filters), np.float32), np.empty((len(which), p.filters), int)
-            for i, c in enumerate(which):
-                got = responses(data[c, : lengths[c]], weights["table"]) if lengths[c] else np.full((1, p.filters), -1e9, np.float32)
-                best[i] = got.argmax(axis=0)
-                tops[i] = got[best[i], np.arange(p.filters)]
-            tops += weights["bias"]
-            live = tops > 0
-            pooled = np.zeros((len(rows), p.filters), np.float32)
-            np.add.at(pooled, doc, np.where(live, tops, 0) * share[:, None])
-            error = 1 / (1 + np.exp(-(pooled @ weights["out"] + weights["shift"]))) - labels[rows]
-            error /= len(rows)
+        for rows in np.array_split(rng.permutation(len(texts)), max(1, len(texts) // p.batch)):
             grad = {k: p.decay * v for k, v in weights.items()}
-            grad["out"] = grad["out"] + pooled.T @ error
-            grad["shift"] = np.array([error.sum()], np.float32)
-            back = error[doc][:, None] * weights["out"] * live * share[:, None]
-            grad["bias"] = back.sum(axis=0)
-            for j in range(p.width):
-                inside = best + j < lengths[which][:, None]
-                np.add.at(grad["table"][j], (data[which[:, None], best + j], np.arange(p.filters)[None, :]), np.where(inside, back, 0))
+            for r in rows:
+                text = b"".join(texts[r])
+                data = np.frombuffer(text, np.uint8)
+                tops, places = text_chunks(text, weights["table"], p)
+                tops = tops + weights["bias"]
+                live = tops > 0
+                share = 1.0 / max(1, len(tops))
+                pooled = np.where(live, tops, 0).sum(axis=0, dtype=np.float64) * share
+                z = float(pooled @ weights["out"]) + float(weights["shift"][0])
+                error = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - labels[r]) / len(rows)
+                back = error * weights["out"] * share
+                grad["out"] = grad["out"] + error * pooled
+                grad["shift"] = grad["shift"] + error
+                grad["bias"] = grad["bias"] + back * live.sum(axis=0)
+                at, of = places[live], np.nonzero(live)[1]
+                for j in range(p.width):
+                    inside = at + j < len(data)
+                    hits = np.bincount(data[at[inside] + j].astype(np.int64) * p.filters + of[inside], minlength=cells)
+                    grad["table"][j] += (hits.reshape(256, p.filters) * back).astype(np.float32)
             t += 1
             for k, g in grad.items():
                 m1[k] = 0.9 * m1[k] + 0.1 * g
@@ -131,24 +142,39 @@ def train(chunks: list[list[bytes]], labels: np.ndarray, p: Params) -> Model:
     return Model(weights["table"], weights["bias"], weights["out"].astype(np.float64), float(weights["shift"][0]), p)
 
 
+class StoredTexts(Sequence):
+    """Texts one after the other in a file, each read when it is asked for."""
+
+    def __init__(self, file: BinaryIO, spans: list[tuple[int, int]]):
+        self.file, self.spans = file, spans
+
+    def __len__(self) -> int:
+        return len(self.spans)
+
+    def __getitem__(self, i: int) -> list[bytes]:
+        start, size = self.spans[i]
+        self.file.seek(start)
+        return [self.file.read(size)]
+
+
 def fit(docs: DataFrame, labels: DataFrame, use: Column, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", params: Params = Params()) -> Model:
     """Learn from labelled documents for which ``use`` (over the id column) holds.
 
-    The sample is bounded by ``max_rows`` and ``max_chunks`` (16 MB at the defaults); rows without a label or id are
-    left out; a document labelled twice counts twice.
+    The sample is bounded by ``max_rows`` alone: each of its texts is read whole, from a temporary file of the driver
+    that holds the sample. Rows without a label or id are left out; a document labelled twice counts twice.
     """
     picked = labels.filter(use & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("double").alias("_label"))
     picked = picked.orderBy(F.xxhash64("_id"), "_id", "_label").limit(params.max_rows)  # so many narrow rows at most
-    joined = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(picked), "_id")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [training_chunks((x.as_py() or "").encode(), params) for x in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.list_(pa.binary()))], names=["_id", "_label", "chunks"])
-
-    rows = joined.select("_id", "_label", "_text").mapInArrow(cut, "_id long, _label double, chunks array<binary>")
-    sample = sorted(rows.limit(params.max_rows).collect(), key=lambda r: (r._id, r._label))  # ids that repeat count against the bound
-    return train([[bytes(c) for c in r.chunks] for r in sample], np.array([r._label for r in sample], np.float32), params)
+    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text")
+    joined = docs.select(F.col(id_col).alias("_id"), text).join(F.broadcast(picked), "_id").select("_id", "_label", "_text")
+    sample = stash(joined.limit(params.max_rows), "sample")  # ids that repeat count against the bound
+    with tempfile.TemporaryFile() as file:
+        found = []
+        for r in sample.toLocalIterator():
+            found.append((r._id, r._label, file.tell(), len(r._text)))
+            file.write(r._text)
+        found.sort(key=lambda r: r[:2])
+        return train(StoredTexts(file, [r[2:] for r in found]), np.array([r[1] for r in found], np.float32), params)
 
 
 def score(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:

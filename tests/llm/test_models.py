@@ -54,6 +54,32 @@ def test_features_equal_the_plain_form():
         np.testing.assert_allclose(byte_cnn.features(data, table, bias, p), want, rtol=1e-4, atol=1e-5)
 
 
+def test_training_reads_whole_texts(spark):
+    """What tells the labels apart stands only between the chunks that a spread sample of eight would read."""
+    rng = np.random.default_rng(3)
+    docs = []
+    for i in range(120):
+        text = bytearray(rng.integers(97, 105, 256 * 30, dtype=np.uint8).tobytes())
+        for k in range(2, 30, 4) if i % 2 else ():
+            text[256 * k : 256 * (k + 2)] = b"#@" * 256
+        docs.append((i, text.decode(), i % 2))
+    df = spark.createDataFrame(docs, "doc_id long, text string, quality int")
+    model = byte_cnn.fit(df, df, F.lit(True))
+    assert all((byte_cnn.probability(t.encode(), model) >= 0.5) == bool(q) for _, t, q in docs)
+
+
+def test_training_features_equal_scoring_features():
+    p = byte_cnn.Params(filters=3, width=4, half=8)
+    rng = np.random.default_rng(1)
+    table, bias = rng.normal(size=(4, 256, 3)).astype(np.float32), rng.normal(size=3).astype(np.float32)
+    for n in (1, 8, 9, 40, 8 * byte_cnn._BLOCK + 5):
+        data = bytes(rng.integers(0, 256, n, dtype=np.uint8))
+        tops, places = byte_cnn.text_chunks(data, table, p)
+        np.testing.assert_allclose(np.maximum(tops + bias, 0).mean(axis=0, dtype=np.float64), byte_cnn.features(data, table, bias, p), rtol=1e-5)
+        got = byte_cnn.responses(np.frombuffer(data, np.uint8), table)
+        np.testing.assert_allclose(np.take_along_axis(got, places, axis=0), tops, rtol=1e-5)
+
+
 def test_constant_labels():
     m = byte_cnn.train([[b"abc"]] * 4, np.ones(4, np.float32), byte_cnn.Params())
     assert byte_cnn.probability(b"", m) > 0.9 and byte_cnn.train([], np.zeros(0, np.float32), byte_cnn.Params()).shift == 0
