@@ -11,6 +11,8 @@
    group of near copies never yields all of its pairs.
    Parity sketches drop pairs whose sets certainly differ in too many shingles.
 5. Every link stems from an exact comparison of two whole sets.
+
+``near_components`` gives the classes alone and so may skip pairs within a component; ``near_links`` gives every link.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ from millrace.llm.shingles import shingle_set
 LEAST_BITS, MOST_BITS, BLOCK_BITS = 16, 22, 12
 #: Lists of more groups are chained in slots of about this size, and the slots' first groups among each other.
 SLOT = 4096
+#: Where all pairs of a list are made, it is cut into blocks of about so many groups.
+BLOCK = 512
 #: Lists with more members outside their commonest component are shuffled before their remaining pairs are made, and
 #: each member meets so many of the next ones.
 LONG_MIXED, NEIGHBOURS = 32, 2
@@ -262,6 +266,64 @@ def verified(pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
     return rows.select("a", "b", "one", "two").mapInArrow(compare, "a long, b long")
 
 
+def prepared(docs: DataFrame, id_col: str, text_col: str, p: Params) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(doc_id, text), the heads of all rows, those that are not empty, the postings of groups and the distinct sets."""
+    docs = docs.select(F.coalesce(F.col(id_col), F.lit(NO_ID)).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    bits = min(MOST_BITS, max(LEAST_BITS, int(docs.count()).bit_length() + 2))
+    rows = stash(heads(docs, count_sketch(docs, p, bits), p), "heads")
+
+    some = rows.filter("n > 0")
+    groups = some.groupBy("n", "pkey").agg(F.min("doc_id").alias("gid"), F.first("prefix").alias("prefix"))
+    postings = stash(shared_postings(groups), "postings")
+    reps = some.groupBy("n", "pkey", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("parity").alias("parity"))
+    reps = reps.groupBy("n", "pkey").agg(F.min("rep").alias("gid")).join(reps, ["n", "pkey"])
+    return docs, rows, some, postings, stash(reps.select("rep", "gid", "n", "pkey", "s1", "s2", "parity"), "reps")
+
+
+def all_pairs(postings: DataFrame, reps: DataFrame, p: Params) -> DataFrame:
+    """(a, b): all pairs of distinct sets whose groups share a prefix shingle and may link, whatever their components.
+
+    A list is cut into blocks of about BLOCK groups; each two blocks of a list and band of size are one key of the join.
+    """
+    blocks = F.ceil(F.col("held") / F.lit(float(BLOCK))).cast("long")
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / p.percent)))).cast("long")
+    rows = postings.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("gid"), F.col("blocks"))).withColumn("band", band)
+    me = F.struct("gid", "n", "pos")
+    left = rows.withColumn("hi", F.explode(F.sequence("block", F.col("blocks") - 1))).select("token", F.col("block").alias("lo"), "hi", F.explode(F.array(*[F.col("band") + i for i in (-1, 0, 1)])).alias("band"), me.alias("l"))
+    right = rows.withColumn("lo", F.explode(F.sequence(F.lit(0).cast("long"), "block"))).select("token", "lo", F.col("block").alias("hi"), "band", me.alias("r"))
+    met = left.join(right, ["token", "lo", "hi", "band"]).filter((F.col("lo") < F.col("hi")) | (F.col("l.gid") < F.col("r.gid")))
+    met = met.filter(may_link(p, F.col("l.n"), F.col("l.pos"), F.col("r.n"), F.col("r.pos")))
+    met = _ordered(met.select(F.col("l.gid").alias("a"), F.col("r.gid").alias("b")))
+    one, two = (reps.select(F.col("gid").alias(f"g{i}"), F.col("rep").alias(x), F.col("n").alias(f"n{i}"), F.col("parity").alias(f"parity{i}")) for i, x in ((1, "a"), (2, "b")))
+    across = met.select(F.col("a").alias("g1"), F.col("b").alias("g2")).join(one, "g1").join(two, "g2")
+    within = one.join(two, (F.col("g1") == F.col("g2")) & (F.col("a") < F.col("b")))
+    columns = ["a", "b", "n1", "parity1", "n2", "parity2"]
+    pairs = across.select(*columns).union(within.select(*columns)).filter(may_agree(p, F.col("n1"), F.col("parity1"), F.col("n2"), F.col("parity2")))
+    return _ordered(pairs.filter("a <> b").select("a", "b"))
+
+
+def near_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", params: Params = Params()) -> tuple[DataFrame, DataFrame]:
+    """Every link: (a, b), a < b, between the representatives of distinct sets, and (doc_id, n_shingles, rep_id, n_links).
+
+    Rows of equal sets are one class, its representative the smallest id in it; each two of them link too, and so does
+    each with all rows of a linked class. n_links counts these other documents, 0 for empty sets. No pair is left out
+    for its component; the output grows with the square of a group of near copies. Rows with the same id and equal
+    sets are one document; null ids are read as in ``near_components`` and come back as null.
+    """
+    p = params
+    docs, rows, some, postings, reps = prepared(docs, id_col, text_col, p)
+    links = stash(verified(all_pairs(postings, reps, p), docs, p).distinct(), "links")
+    key = ["n", "pkey", "s1", "s2"]
+    classes = some.groupBy(*key).agg(F.min("doc_id").alias("rep_id"), F.countDistinct("doc_id").alias("size"))
+    both = links.union(links.select("b", "a")).toDF("rep_id", "other")
+    far = both.join(classes.groupBy(F.col("rep_id").alias("other")).agg(F.sum("size").alias("size")), "other").groupBy("rep_id").agg(F.sum("size").alias("far"))
+    counted = classes.join(far, "rep_id", "left").select(*key, "rep_id", (F.col("size") - 1 + F.coalesce("far", F.lit(0))).cast("long").alias("n_links"))
+    real = lambda c: F.nullif(c, F.lit(NO_ID))
+    out = rows.select("doc_id", *key).join(counted, key, "left")
+    members = out.select(real(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), real(F.coalesce("rep_id", "doc_id")).alias("rep_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    return links.select(real(F.col("a")).alias("a"), real(F.col("b")).alias("b")), members
+
+
 def near_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", params: Params = Params()) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (the smallest id reachable by links, itself included).
 
@@ -272,16 +334,7 @@ def near_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     ignored; texts are read whole. Equal sets are joined before any pair is made.
     """
     p = params
-    docs = docs.select(F.coalesce(F.col(id_col), F.lit(NO_ID)).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    bits = min(MOST_BITS, max(LEAST_BITS, int(docs.count()).bit_length() + 2))
-    rows = stash(heads(docs, count_sketch(docs, p, bits), p), "heads")
-
-    some = rows.filter("n > 0")
-    groups = some.groupBy("n", "pkey").agg(F.min("doc_id").alias("gid"), F.first("prefix").alias("prefix"))
-    postings = stash(shared_postings(groups), "postings")
-    reps = some.groupBy("n", "pkey", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("parity").alias("parity"))
-    reps = reps.groupBy("n", "pkey").agg(F.min("rep").alias("gid")).join(reps, ["n", "pkey"])
-    reps = stash(reps.select("rep", "gid", "n", "pkey", "s1", "s2", "parity"), "reps")
+    docs, rows, some, postings, reps = prepared(docs, id_col, text_col, p)
 
     inside = reps.filter("rep <> gid").select(F.col("gid").alias("a"), F.col("rep").alias("b"))
     open_groups = postings.select("gid").union(inside.select("a")).distinct()

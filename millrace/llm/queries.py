@@ -148,6 +148,18 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_components(docs, params=ngram_join.Params(width=3, percent=90))
 
 
+_LINKS = _JACCARD[: _JACCARD.index(",\n r AS (")] + """
+SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, count(e.b) AS n_links FROM d LEFT JOIN n USING (doc_id) LEFT JOIN e ON e.a = d.doc_id GROUP BY d.doc_id
+"""
+
+
+@register("op7_ngram_links", _LINKS)
+def op7_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number of all links of every document, also within a component."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.near_links(docs, params=ngram_join.Params(width=3, percent=90))[1].select("doc_id", "n_shingles", "n_links")
+
+
 _CAPS = r"""
 WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
  g AS (SELECT vec_id, e FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),

@@ -116,6 +116,23 @@ def test_join_with_small_slots(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == brute_join(docs, 3, 90)
 
 
+def test_links_equal_brute_force(spark):
+    """Also the links between members of one component, which the components leave out."""
+    for seed, width, percent, block in ((1, 3, 90, 512), (2, 5, 80, 3)):
+        docs = near_copies(seed)
+        sets = {i: frozenset(word_set(t, width)) for i, t in docs}
+        pairs = {(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+        rep = {i: min(k for k in sets if sets[k] == sets[i]) if sets[i] else i for i in sets}
+        old, ngram_join.BLOCK = ngram_join.BLOCK, block
+        try:
+            links, members = ngram_join.near_links(spark.createDataFrame(docs, "doc_id long, text string"), params=ngram_join.Params(width, percent))
+        finally:
+            ngram_join.BLOCK = old
+        assert sorted((r.a, r.b) for r in links.collect()) == sorted({(a, b) for a, b in pairs if rep[a] == a and rep[b] == b and sets[a] != sets[b]})
+        want = {i: (len(sets[i]), rep[i], sum(i in pair for pair in pairs)) for i in sets}
+        assert {r.doc_id: (r.n_shingles, r.rep_id, r.n_links) for r in members.collect()} == want
+
+
 def test_shingles_in_pieces():
     text = (" ".join(f"w{i % 97}é" for i in range(4000)) + " x" * 50 + " " + "y" * 700).encode()
     whole, chunk = shingles.word_hashes(text), shingles._CHUNK
