@@ -17,14 +17,21 @@ DIGITS, HEX, ALNUM = "0123456789", "0123456789abcdef", "0123456789abcdefghijklmn
 ROUNDS = 8
 KINDS = ("email", "date", "phone", "ssn", "card", "ip")
 
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
 DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}"
 PHONE = r"(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 CARD = r"[0-9]{13,19}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}"
 IP = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.[0-9])"
-PATTERN = rf"{EMAIL}|(?<![0-9A-Za-z])(?<![0-9]\.)(?:{DATE}|{PHONE}|{SSN}|{CARD}|{IP})(?![0-9A-Za-z])"
-DATE_FORMS = ((r"^[0-9]{4}-", "yyyy-MM-dd"), (r"^[0-9]{4}/", "yyyy/MM/dd"), (r"^[0-9]{2}/", "MM/dd/yyyy"), (r"^[0-9]{2}\.", "dd.MM.yyyy"))
+#: Country codes of the numbering plan; with one, any grouping of 8 digits or more, as far as the pattern reaches, that does not run into another value.
+COUNTRY = r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9][0-9]{2}"
+ABROAD = rf"\+(?:{COUNTRY})(?:(?![ .-](?:{DATE}|{SSN}|{CARD}|{IP}|[2-9][0-9]{{2}}[2-9][0-9]{{6}})(?![0-9A-Za-z]))[ .-]?(?:\([0-9]{{1,4}}\)|[0-9])){{5,12}}"
+#: Ten digits in a row whose area and exchange can be dialled.
+PLAIN = r"[2-9][0-9]{2}[2-9][0-9]{6}(?!\.[0-9])"
+TIMED = rf"(?:{DATE})(?=[Tt][0-9]{{2}})"
+PATTERN = rf"{EMAIL}|(?<![0-9A-Za-z])(?<![0-9]\.)(?:{TIMED}|(?:{DATE}|{PHONE}|{ABROAD}|{SSN}|{PLAIN}|{CARD}|{IP})(?![0-9A-Za-z]))"
+#: The last form that fits holds: a slash date is day-first where its first number is no month.
+DATE_FORMS = ((r"^[0-9]{4}-", "yyyy-MM-dd"), (r"^[0-9]{4}/", "yyyy/MM/dd"), (r"^[0-9]{2}/", "MM/dd/yyyy"), (r"^(?:1[3-9]|2[0-9]|3[01])/", "dd/MM/yyyy"), (r"^[0-9]{2}\.", "dd.MM.yyyy"))
 #: 400 Gregorian years always have 189 * 773 days.
 FIRST_DAY, LOW_DAYS, HIGH_DAYS = "1800-01-01", 189, 773
 
@@ -134,7 +141,7 @@ def kind_of(m: Column) -> Column:
     return (
         F.when(m.contains("@"), F.when(m.rlike("^[^@]*[A-Za-z0-9]"), "email"))
         .when(m.rlike(f"^(?:{DATE})$"), F.when(_day(m).between(0, LOW_DAYS * HIGH_DAYS - 1), "date"))
-        .when(m.rlike(f"^(?:{PHONE})$"), "phone").when(m.rlike(f"^(?:{SSN})$"), F.when(ssn_ok, "ssn"))
+        .when(m.rlike(f"^(?:{PHONE}|{PLAIN})$"), "phone").when(m.startswith("+"), F.when(F.length(digits) >= 8, "phone")).when(m.rlike(f"^(?:{SSN})$"), F.when(ssn_ok, "ssn"))
         .when(m.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$"), F.when(F.forall(octets, lambda o: o <= 255), "ip"))
         .when(luhn_sum(digits) % 10 == 0, "card")
     )
@@ -153,7 +160,7 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
         return out
 
     date = let(feistel_day(_day(m), key), dated)
-    country = F.when(m.startswith("+1"), F.lit("1")).otherwise(F.lit(""))
+    country = F.when(m.startswith("+"), F.regexp_extract(m, rf"^\+({COUNTRY})", 1)).otherwise(F.lit(""))
     phone = _refill(m, F.concat(country, feistel(F.substr(digits, F.length(country) + 1), DIGITS, key, "phone")), "0-9")
     payload = feistel(F.substr(digits, F.lit(1), F.length(digits) - 1), DIGITS, key, "card")
     card = let(payload, lambda p: F.concat(p, F.pmod(10 - luhn_sum(F.concat(p, F.lit("0"))) % 10, F.lit(10)).cast("string")))

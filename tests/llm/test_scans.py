@@ -121,6 +121,19 @@ def test_pseudonyms(spark):
     assert other != got
 
 
+def test_pseudonyms_of_further_forms(spark):
+    long_name = "a" * 70 + ".b"
+    text = f"2024-02-29T10:00:00Z 2024-02-29 25/12/2024 2024-12-25 +44 20 7946 0958 +442079460958 +44 20 7946 0958 2024-12-25 6325554827 632-555-4827 {long_name}@mail.example"
+    kept = "1709200800 31/31/2024 +44 20 6325554827.5 2024-02-30T10:00:00Z"
+    out = pii.pseudonymise(spark.createDataFrame([(1, text), (2, kept)], "doc_id long, text string")).orderBy("doc_id").collect()
+    m = re.fullmatch(r"(\d{4}-\d\d-\d\d)T10:00:00Z (\S+) (\d\d)/(\d\d)/(\d{4}) (\S+) \+44 (\d\d) (\d{4}) (\d{4}) \+44(\d{10}) (\+44 \d\d \d{4} \d{4}) (\S+) (\d{10}) (\d{3}-\d{3}-\d{4}) (\w{70}\.\w)@mail.example", out[0].text)
+    assert m and m[1] == m[2] != "2024-02-29" and f"{m[5]}-{m[4]}-{m[3]}" == m[6] == m[12] != "2024-12-25"
+    assert m[7] + m[8] + m[9] == m[10] != "2079460958" and m[11].replace(" ", "") == "+44" + m[10]
+    assert m[13] == m[14].replace("-", "") != "6325554827" and m[15] != long_name
+    assert (out[0].n_email, out[0].n_date, out[0].n_phone) == (1, 5, 5)
+    assert out[1].text == kept
+
+
 def python_feistel(value, alphabet, key, kind):
     half = len(value) // 2
     left, right = value[:half], value[half:]
