@@ -25,8 +25,10 @@ def add_new(known: DataFrame, found: DataFrame, key: str = "id") -> DataFrame:
     return found.join(known.select(key), key, "left_anti")
 
 
-def by_priority(videos: DataFrame, limit: int) -> DataFrame:
-    """The first ``limit`` videos, direct hits before expansion hits, then by seq; plus their place (from 0)."""
+def by_priority(videos: DataFrame, limit: int | None = None) -> DataFrame:
+    """The first ``limit`` videos (all without one), direct hits before expansion hits, then by seq; plus their place (from 0)."""
+    if limit is None:
+        return with_position(videos.withColumn("_expanded", ~is_direct(F.col("source"))), "_expanded", "seq", name="place").drop("_expanded")
     top = videos.orderBy((~is_direct(F.col("source"))).asc(), F.col("seq").asc()).limit(limit)
     order = Window.orderBy((~is_direct(F.col("source"))).asc(), F.col("seq").asc())  # over the few rows of the limit
     return top.withColumn("place", (F.row_number().over(order) - 1).cast("long"))

@@ -213,3 +213,9 @@ def test_whole_queue_log_is_folded(spark, sf_dir):
     assert state.agg(F.sum("attempts")).first()[0] == log.filter("kind = 'lease'").count()
     assert catalogue.QUERIES["lease_intervals_all"](spark, sf_dir).count() == log.filter("kind = 'lease'").count()
     assert state.filter("fetch_state IS NOT NULL").count() == log.filter("kind = 'finish'").select("video").distinct().count()
+
+
+def test_priority_without_limit_keeps_all(spark):
+    rows = [video(f"v{i:03}", i, "expand:UC1" if i % 2 else "seed") for i in range(301)]
+    out = frontier.by_priority(spark.createDataFrame(rows, VIDEO)).orderBy("place").collect()
+    assert [(r.place, r.id) for r in out] == list(enumerate([f"v{i:03}" for i in [*range(0, 301, 2), *range(1, 301, 2)]]))
