@@ -75,7 +75,11 @@ def next_channels(channels: DataFrame, limit: int) -> DataFrame:
 
 def pending_searches(queries: DataFrame, searches: DataFrame) -> DataFrame:
     """queries(list of texts) in their order, with the searches that are not done."""
-    listed = queries.select(F.posexplode("queries").alias("place", "query"))
+    return pending_listed(queries.select(F.posexplode("queries").alias("place", "query")), searches)
+
+
+def pending_listed(listed: DataFrame, searches: DataFrame) -> DataFrame:
+    """listed(place, query), of any length, with the searches that are not done."""
     return listed.join(searches.filter("NOT done"), "query")
 
 

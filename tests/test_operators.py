@@ -219,3 +219,12 @@ def test_priority_without_limit_keeps_all(spark):
     rows = [video(f"v{i:03}", i, "expand:UC1" if i % 2 else "seed") for i in range(301)]
     out = frontier.by_priority(spark.createDataFrame(rows, VIDEO)).orderBy("place").collect()
     assert [(r.place, r.id) for r in out] == list(enumerate([f"v{i:03}" for i in [*range(0, 301, 2), *range(1, 301, 2)]]))
+
+
+def test_searches_of_all_documents(spark, sf_dir):
+    from millrace.plans import catalogue
+
+    ids = [r.doc_id for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id").collect()]
+    counts = {r.what: r.n for r in catalogue.QUERIES["frontier_counts_all"](spark, sf_dir).collect()}
+    assert counts["searches done"] + counts["searches pending"] == len(ids)
+    assert {r.query for r in catalogue.QUERIES["pending_searches_all"](spark, sf_dir).collect()} == {f"q{i}" for i in ids if i % 2}
