@@ -2,18 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-
-def scratch(spark: SparkSession, tag: str) -> str:
-    """A fresh path below spark.checkpoint.dir; below a temporary folder only where that is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="millrace-")
-    return f"{folder.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+from millrace.scratch import fresh_dir
 
 
 def with_position(df: DataFrame, *order: str, name: str = "pos") -> DataFrame:
@@ -24,7 +17,7 @@ def with_position(df: DataFrame, *order: str, name: str = "pos") -> DataFrame:
     """
     spark = df.sparkSession
     placed = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    path = scratch(spark, "positions")
+    path = fresh_dir(spark, "positions")
     placed.write.parquet(path)
     placed = spark.read.schema(placed.schema).parquet(path)
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
