@@ -1,36 +1,48 @@
-"""Shared helpers of the corpus operators: the shared folder, lineage cuts and white space."""
+"""Shared helpers of the corpus operators: lineage cuts, bounded batches and white space."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.scratch import fresh_dir, shared_dir
+
 #: The six characters of ``[\x20\x09-\x0D]``.
 WHITE = " \t\n\x0b\f\r"
 
 #: The type that stands for "no doc_id" where ids are ordered or joined: smaller than any real id.
 NO_ID = -(2**63)
+#: Bytes of an Arrow batch on its way to a Python worker. A batch holds one row at least, however long its text is.
+BATCH_BYTES = 4 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session by bytes (``BATCH_BYTES``), unless they are bounded closer already.
+
+    A batch is bounded by its number of rows alone by default, which says little about texts.
+    """
+    now = spark.conf.get(_BATCH_CONF, None)
+    if now is None or not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(_BATCH_CONF, BATCH_BYTES)
+
+
+def arrow_fields(rows: DataFrame) -> str:
+    """The columns of ``rows`` as the DDL of a map's output."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only if it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if not folder:
-        folder = context.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="millrace-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder
+def node_id(id_col: str, text_col: str) -> Column:
+    """The id as a long. A row without an id gets one below -2**62 from its text, so that it comes before all others;
+    rows without an id are the same document only if their texts are equal. Real ids are taken to be above that."""
+    own = F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), 2)
+    return F.coalesce(F.col(f"`{id_col}`").cast("long"), own)
 
 
-def fresh_dir(spark: SparkSession, tag: str) -> str:
-    """A path of its own below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+def real_id(column: str | Column) -> Column:
+    """What ``node_id`` was made from: null for a row without an id."""
+    column = F.col(column) if isinstance(column, str) else column
+    return F.when(column >= -(2**62), column)
 
 
 def stash(df: DataFrame, tag: str) -> DataFrame:
