@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import stash
+from millrace.llm.common import arrow_fields, bounded_batches, stash
 
 _BLOCK = 128  # half-chunks convolved at once
 
@@ -161,13 +161,16 @@ def fit(docs: DataFrame, labels: DataFrame, use: Column, *, id_col: str = "doc_i
     """Learn from labelled documents for which ``use`` (over the id column) holds.
 
     The sample is bounded by ``max_rows`` alone: each of its texts is read whole, from a temporary file of the driver
-    that holds the sample. Rows without a label or id are left out; a document labelled twice counts twice.
+    that holds the sample. Rows without a label or id are left out. A repeated label row counts once, a document with
+    both labels once with each; of several texts with one id the one with the smallest hash is read, so the sample
+    does not depend on the order of the rows.
     """
     picked = labels.filter(use & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("double").alias("_label"))
-    picked = picked.orderBy(F.xxhash64("_id"), "_id", "_label").limit(params.max_rows)  # so many narrow rows at most
-    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("_text")
-    joined = docs.select(F.col(id_col).alias("_id"), text).join(F.broadcast(picked), "_id").select("_id", "_label", "_text")
-    sample = stash(joined.limit(params.max_rows), "sample")  # ids that repeat count against the bound
+    picked = picked.distinct().orderBy(F.xxhash64("_id"), "_id", "_label").limit(params.max_rows)  # so many narrow rows at most
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    joined = docs.select(F.col(id_col).alias("_id"), text.alias("_text")).join(F.broadcast(picked), "_id")
+    one = F.min_by("_text", F.struct(F.xxhash64("_text"), "_text")).cast("binary").alias("_text")
+    sample = stash(joined.groupBy("_id", "_label").agg(one), "sample")
     with tempfile.TemporaryFile() as file:
         found = []
         for r in sample.toLocalIterator():
@@ -177,22 +180,26 @@ def fit(docs: DataFrame, labels: DataFrame, use: Column, *, id_col: str = "doc_i
         return train(StoredTexts(file, [r[2:] for r in found]), np.array([r[1] for r in found], np.float32), params)
 
 
-def score(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, *, text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """docs plus score and predicted (columns of those names are replaced). One map over the rows, no shuffle.
 
+    Without ``keep_text`` the text column goes, and does not travel back from the Python workers.
+
     score lies in 0..1, higher for likelier label 1; null and empty texts have the score of no evidence. Every
     row is scored over all its bytes; an empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
     at = kept.index(text_col)
+    told = [i for i, c in enumerate(kept) if keep_text or c != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = np.array([probability((x.as_py() or "").encode(), shared.value) for x in batch.column(at)], np.float64)
             new = [pa.array(scores, pa.float64()), pa.array((scores >= 0.5).astype(np.int32), pa.int32())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*kept, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in told), *new], names=[*(kept[i] for i in told), "score", "predicted"])
 
     rows = docs.select(*[F.col(f"`{c}`") for c in kept])
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema]
-    return rows.mapInArrow(run, ", ".join([*fields, "score double", "predicted int"]))
+    fields = arrow_fields(rows.select(*[F.col(f"`{kept[i]}`") for i in told]))
+    return rows.mapInArrow(run, ", ".join([*([fields] if fields else []), "score double", "predicted int"]))
