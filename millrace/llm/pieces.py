@@ -19,14 +19,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import arrow_fields, bounded_batches
+
 MARK = "▁"
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 #: A word longer than this is segmented by itself, so that one long word does not widen the whole batch.
 LONG_WORD = 64
-#: Distinct words kept per task between batches; when full, the store starts anew (results do not depend on it).
-KEEP_WORDS = 50_000
+#: Words segmented side by side, and distinct words kept per task between batches; when full, the store starts anew.
+#: Results do not depend on either.
+SIDE_BY_SIDE, KEEP_WORDS = 1024, 50_000
 LOW = -1e30
 
 
@@ -129,6 +132,9 @@ def _fields(data: bytes) -> Iterator[tuple[int, bytes | int]]:
 def load(data: bytes, scores: str = "auto") -> Vocabulary:
     """The vocabulary of a model file.
 
+    Pieces, scores and kinds are read. The file's normaliser is not applied (texts are taken as they are, apart from
+    blanks), and user-defined and control pieces are never chosen.
+
     scores: "model" takes the file's scores; "rank" takes log probabilities by Zipf's law from the order of the
     pieces, -log(rank + 1); "auto" is "model" for a unigram model and "rank" for others, whose scores are merge
     orders and no log probabilities.
@@ -243,8 +249,8 @@ def encode_batch(texts: list[str], v: Vocabulary) -> list[np.ndarray]:
         v.store.clear()
     new = list({w for words in split for w in words if w not in v.store})
     short = sorted((w for w in new if len(w) <= LONG_WORD), key=len)
-    for i in range(0, len(short), 4096):
-        part = short[i : i + 4096]
+    for i in range(0, len(short), SIDE_BY_SIDE):
+        part = short[i : i + SIDE_BY_SIDE]
         v.store.update(zip(part, viterbi(part, v), strict=True))
     own = {w: viterbi_long(w, v) for w in new if len(w) > LONG_WORD}
     none = np.zeros(0, np.int32)
@@ -299,41 +305,44 @@ def _loaded(data: bytes, scores: str) -> Vocabulary:
     return _LOADED[key]
 
 
-def encode(docs: DataFrame, model: bytes, *, text_col: str = "text", scores: str = "auto") -> DataFrame:
+def encode(docs: DataFrame, model: bytes, *, text_col: str = "text", scores: str = "auto", keep_text: bool = True) -> DataFrame:
     """docs plus ids (array<int>), n_pieces, n_bytes and lossless (columns of those names are replaced).
 
+    Without ``keep_text`` the text column goes, and does not travel back from the Python workers.
+
     n_bytes counts byte-fallback pieces; lossless says whether decoding the ids gives the text back (a marker in
     the text itself becomes a blank). Null and empty texts have no pieces. The model file's bytes (some hundred
     KB) are broadcast. Every row's whole text is encoded in one map without a shuffle; an empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     new = ("ids", "n_pieces", "n_bytes", "lossless")
     kept = [c for c in docs.columns if c not in new]
     at = kept.index(text_col)
+    told = [i for i, c in enumerate(kept) if keep_text or c != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = _loaded(shared.value, scores)
-        for whole in batches:
-            for first in range(0, whole.num_rows, 512):
-                batch = whole.slice(first, 512)
-                texts = [x or "" for x in batch.column(at).to_pylist()]
-                found = encode_batch(texts, v)
-                lossless = [decode(x.tolist(), v) == text for x, text in zip(found, texts, strict=True)]
-                sizes = np.array([len(x) for x in found], np.int64)
-                flat = np.concatenate([*found, np.zeros(0, np.int32)])
-                offsets = np.concatenate([[0], np.cumsum(sizes)])
-                is_byte = np.concatenate([[0], np.cumsum(v.kinds[flat] == BYTE)])
-                more = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32())), pa.array(sizes, pa.int64())]
-                more += [pa.array(is_byte[offsets[1:]] - is_byte[offsets[:-1]], pa.int64()), pa.array(lossless, pa.bool_())]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*kept, *new])
+        for batch in batches:
+            texts = [x or "" for x in batch.column(at).to_pylist()]
+            found = encode_batch(texts, v)
+            lossless = [decode(x.tolist(), v) == text for x, text in zip(found, texts, strict=True)]
+            sizes = np.array([len(x) for x in found], np.int64)
+            flat = np.concatenate([*found, np.zeros(0, np.int32)])
+            offsets = np.concatenate([[0], np.cumsum(sizes)])
+            is_byte = np.concatenate([[0], np.cumsum(v.kinds[flat] == BYTE)])
+            more = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32())), pa.array(sizes, pa.int64())]
+            more += [pa.array(is_byte[offsets[1:]] - is_byte[offsets[:-1]], pa.int64()), pa.array(lossless, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in told), *more], names=[*(kept[i] for i in told), *new])
 
     rows = docs.select(*[F.col(f"`{c}`") for c in kept])
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema]
-    return rows.mapInArrow(run, ", ".join([*fields, "ids array<int>", "n_pieces long", "n_bytes long", "lossless boolean"]))
+    fields = arrow_fields(rows.select(*[F.col(f"`{kept[i]}`") for i in told]))
+    return rows.mapInArrow(run, ", ".join([*([fields] if fields else []), "ids array<int>", "n_pieces long", "n_bytes long", "lossless boolean"]))
 
 
 def decode_ids(rows: DataFrame, model: bytes, *, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """rows plus the decoded text of an id array; null ids give null, no ids the empty text."""
+    bounded_batches(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(model)
     kept = [c for c in rows.columns if c != out_col]
     at = kept.index(ids_col)
@@ -345,5 +354,4 @@ def decode_ids(rows: DataFrame, model: bytes, *, ids_col: str = "ids", out_col:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*kept, out_col])
 
     rows = rows.select(*[F.col(f"`{c}`") for c in kept])
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema]
-    return rows.mapInArrow(run, ", ".join([*fields, f"`{out_col}` string"]))
+    return rows.mapInArrow(run, f"{arrow_fields(rows)}, `{out_col}` string")
