@@ -1,10 +1,12 @@
 """Line dedup over levelled sorted runs of line hashes.
 
-The store is a folder of runs. Each run is a table sorted by line hash: (h1, h2, n, keeper), where n counts the
-documents of its batches that hold the line and keeper is their largest document id. A new batch is anti-joined
-with the runs to tell lines seen for the first time from lines seen before, and adds its own run at level 0. When
-a level holds ``fanout`` runs they are merged into one run of the next level, so a store of N batches keeps
-O(fanout * log N) runs. A manifest table names the live runs; it is written last, so a broken run is never read.
+The store is a folder of runs. Each run is a table bucketed and sorted by line hash: (h1, h2, n, keeper), where n counts
+the documents of its batches that hold the line. A new batch is merge-anti-joined with the runs: a line that no run
+holds enters with its keeper, the largest document id of the batch that holds it; a line that the runs hold has its
+keeper already and adds its count, and a keeper only if that is larger, which never happens where batches come newest
+(largest ids) first. When a level holds ``fanout`` runs they are merged into one run of the next level, so a store of N
+batches keeps O(fanout * log N) runs. All runs of a store have the same buckets, so neither the join nor a merge moves
+their rows. A manifest table names the live runs; it is written last, so a broken run is never read.
 """
 
 from __future__ import annotations
@@ -15,14 +17,17 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import NO_ID, fresh_dir, stash, text_of
+from millrace.llm.common import NO_ID, arrow_fields, bounded_batches, fresh_dir, shuffle_partitions, stash, text_of
 
 _STRIP = b" \t\n\r\x0b\x0c"
-RUN = "h1 long, h2 long, n long, keeper long, fresh boolean"
-MANIFEST = "version int, level int, path string"
+RUN = "h1 bigint, h2 bigint, n bigint, keeper bigint"
+KEY = ["h1", "h2"]
+MANIFEST = "version int, level int, run int, buckets int, next int"
+#: A repeated line counts as frequent above 1/HOT_SHARE of a mean bucket's postings.
+HOT_SHARE = 4
 
 
 def _line_key(line: bytes, least: int) -> bytes | None:
@@ -42,83 +47,120 @@ def _text_bytes(column: pa.Array) -> Iterator[bytes]:
         yield x.as_py() or b""
 
 
-def postings(docs: DataFrame, *, id_col: str, text_col: str, least: int) -> DataFrame:
-    """(h1, h2, doc_id): each long line of each document once. A null id reads as the smallest one."""
+def row_hash(id_col: str, text_col: str) -> Column:
+    """With the id it names a row, or rows that agree in id and text."""
+    return F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+
+
+def postings(docs: DataFrame, *, id_col: str, text_col: str, least: int, batch: Column | None = None) -> DataFrame:
+    """(h1, h2, doc_id, row, batch): each long line of each document once. A null id reads as the smallest one."""
+    bounded_batches(docs.sparkSession)
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, ids = bytearray(), []
-            for doc_id, text in zip(batch.column(0).to_pylist(), _text_bytes(batch.column(1)), strict=True):
+            out, sizes = bytearray(), []
+            for text in _text_bytes(batch.column(3)):
                 found = {_hash(k) for line in text.split(b"\n") if (k := _line_key(line, least)) is not None}
                 out += b"".join(sorted(found))
-                ids += [doc_id] * len(found)
-            pairs = pa.Array.from_buffers(pa.int64(), 2 * len(ids), [None, pa.py_buffer(bytes(out))]).to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0::2]), pa.array(pairs[1::2]), pa.array(ids, pa.int64())], ["h1", "h2", "doc_id"])
+                sizes.append(len(found))
+            pairs = pa.Array.from_buffers(pa.int64(), 2 * sum(sizes), [None, pa.py_buffer(bytes(out))]).to_numpy()
+            rest = [pa.array(batch.column(i).to_numpy().repeat(sizes)) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0::2]), pa.array(pairs[1::2]), *rest], ["h1", "h2", "doc_id", "row", "batch"])
 
-    rows = docs.select(F.coalesce(F.col(id_col), F.lit(NO_ID)).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(lines, "h1 long, h2 long, doc_id long")
+    number = (F.lit(0) if batch is None else batch).cast("int").alias("batch")
+    rows = docs.select(F.coalesce(F.col(id_col), F.lit(NO_ID)).cast("long").alias("doc_id"), row_hash(id_col, text_col).alias("row"), number, text_of(text_col).alias("text"))
+    return rows.mapInArrow(lines, "h1 long, h2 long, doc_id long, row long, batch int")
 
 
 class LineRuns:
-    """The store of runs in one folder."""
+    """The store of runs in one folder. ``buckets`` (default: the shuffle partitions) is fixed when it is made.
+
+    All runs are partitions of one table bucketed by line hash, so that several can be read as one without a shuffle.
+    """
 
-    def __init__(self, spark: SparkSession, folder: str, *, fanout: int = 3, new: bool = False):
+    def __init__(self, spark: SparkSession, folder: str, *, fanout: int = 3, buckets: int | None = None, new: bool = False):
         self.spark, self.folder, self.fanout = spark, folder, fanout
-        self.version, self.runs = 0, []
+        self.version, self.runs, self.next = 0, [], 0
+        self.buckets, self.name = buckets or shuffle_partitions(spark), f"line_runs_{uuid.uuid4().hex}"
         if not new:
             rows = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
             rows = rows.filter(F.col("version") == rows.agg(F.max("version")).first()[0]).collect()  # a few rows: the live runs
-            self.version, self.runs = rows[0].version, [(r.level, r.path) for r in rows]
-
-    def _write(self, run: DataFrame) -> str:
-        path = f"{self.folder}/runs/{uuid.uuid4().hex}"
-        run.repartitionByRange("h1", "h2").sortWithinPartitions("h1", "h2").write.parquet(path)
-        return path
+            self.version, self.buckets, self.runs = rows[0].version, rows[0].buckets, [(r.level, r.run) for r in rows]
+            self.next = max(r.next for r in rows)
+            key = ", ".join(KEY)
+            spark.sql(
+                f"CREATE TABLE {self.name} ({RUN}, run INT) USING parquet PARTITIONED BY (run) CLUSTERED BY ({key}) SORTED BY ({key}) INTO {self.buckets} BUCKETS LOCATION '{folder}/runs'"
+            )
+            spark.catalog.recoverPartitions(self.name)
+
+    def _write(self, rows: DataFrame) -> int:
+        """Write a run and return its number; until the manifest names it, nobody reads it."""
+        run, self.next = self.next, self.next + 1
+        out = rows.select(*KEY, "n", "keeper", F.lit(run).alias("run")).write.mode("append").partitionBy("run")
+        out.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", f"{self.folder}/runs").saveAsTable(self.name)
+        return run
+
+    def _read(self, runs: list[int]) -> DataFrame:
+        return self.spark.table(self.name).filter(F.col("run").isin(runs)).select(*KEY, "n", "keeper")
 
     def _commit(self) -> None:
         self.version += 1
-        rows = [(self.version, level, path) for level, path in self.runs]
+        rows = [(self.version, level, run, self.buckets, self.next) for level, run in self.runs]
         self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.folder}/manifest")
 
+    def _merge(self, runs: list[int]) -> DataFrame:
+        return self._read(runs).groupBy(*KEY).agg(F.sum("n").alias("n"), F.max("keeper").alias("keeper"))
+
     def merged(self) -> DataFrame:
         """All live runs as one table, a row per line hash."""
-        return self._merge([p for _, p in self.runs])
-
-    def _merge(self, paths: list[str]) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], RUN)
-        rows = self.spark.read.schema(RUN).parquet(*paths)
-        return rows.groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.max("keeper").alias("keeper"), F.max("fresh").alias("fresh"))
+        return self._merge([r for _, r in self.runs]) if self.runs else self.spark.createDataFrame([], RUN)
 
     def add(self, batch: DataFrame) -> None:
-        """Add a batch of postings: counts for lines that the runs hold, new rows for those that they do not."""
-        own = batch.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper"))
-        if not self.runs:
-            run = own.withColumn("fresh", F.lit(True))
-        else:
-            seen = self.spark.read.schema(RUN).parquet(*[p for _, p in self.runs]).filter("fresh").select("h1", "h2")
-            own = stash(own, "line-batch")
-            run = own.join(seen, ["h1", "h2"], "left_anti").withColumn("fresh", F.lit(True))
-            run = run.unionByName(own.join(seen, ["h1", "h2"], "left_semi").withColumn("fresh", F.lit(False)))
-        self.runs.append((0, self._write(run)))
+        """Add a batch of postings: new lines enter with their keeper, lines that the runs hold are counted, and get
+        another keeper only where the batch has a larger id."""
+        own = batch.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper"))
+        if self.runs:
+            own = self._read([self._write(own)])
+            seen = self._read([r for _, r in self.runs]).filter("keeper IS NOT NULL").groupBy(*KEY).agg(F.max("keeper").alias("was"))
+            known = own.join(seen, KEY).select(*KEY, "n", F.when(F.col("keeper") > F.col("was"), F.col("keeper")).alias("keeper"))
+            own = own.join(seen, KEY, "left_anti").union(known)
+        self.runs.append((0, self._write(own)))
         level = 0
         while len(full := [r for r in self.runs if r[0] == level]) >= self.fanout:
-            self.runs = [r for r in self.runs if r[0] != level] + [(level + 1, self._write(self._merge([p for _, p in full])))]
+            self.runs = [r for r in self.runs if r[0] != level] + [(level + 1, self._write(self._merge([r for _, r in full])))]
             level += 1
         self._commit()
 
     def repeated(self, min_docs: int) -> DataFrame:
-        """(h1, h2, keeper) of the lines that at least ``min_docs`` documents hold."""
-        return self.merged().filter(F.col("n") >= min_docs).select("h1", "h2", "keeper")
+        """(h1, h2, n, keeper) of the lines that at least ``min_docs`` documents hold."""
+        return self.merged().filter(F.col("n") >= min_docs)
+
+
+def lines_to_drop(held: DataFrame, repeated: DataFrame, partitions: int) -> DataFrame:
+    """(doc_id, row, lines): the repeated lines of each row of postings that its document does not keep.
+
+    A line that more than 1/(HOT_SHARE * partitions) of all postings hold is frequent. There are at most HOT_SHARE *
+    partitions such lines, which are broadcast; the postings of the others are joined by a shuffle.
+    """
+    total = held.count()
+    least = -(-total // (HOT_SHARE * partitions))
+    hot = F.broadcast(repeated.filter(F.col("n") > least).select(*KEY, "keeper"))
+    rest = repeated.filter(F.col("n") <= least).select(*KEY, "keeper")
+    common = held.join(hot, KEY)
+    gone = common.union(held.join(hot.select(*KEY), KEY, "left_anti").join(rest, KEY)).filter("doc_id <> keeper")
+    return gone.groupBy("doc_id", "row").agg(F.collect_list(F.struct(*KEY)).alias("lines"))
 
 
-def drop_lines(docs: DataFrame, dropped: DataFrame, *, id_col: str, text_col: str, least: int) -> DataFrame:
-    """docs plus n_lines, n_dropped and kept_text; dropped: (doc_id, lines array<struct<h1, h2>>) per document."""
+def drop_lines(docs: DataFrame, dropped: DataFrame, *, id_col: str, text_col: str, least: int, keep_text: bool = True) -> DataFrame:
+    """docs plus n_lines, n_dropped and kept_text; dropped: (doc_id, row, lines array<struct<h1, h2>>)."""
     kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "kept_text")]
     at = kept.index(text_col)
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(F.col(f"`{id_col}`"), F.lit(NO_ID)).cast("long").alias("_line_id"))
-    gone = dropped.select(F.col("doc_id").alias("_line_id"), F.col("lines.h1").alias("_line_h1"), F.col("lines.h2").alias("_line_h2"))
-    rows = rows.join(gone, "_line_id", "left").drop("_line_id")
+    told = [i for i, c in enumerate(kept) if keep_text or c != text_col]
+    plain = docs.select(*[F.col(f"`{c}`") for c in kept])
+    line_id = F.coalesce(F.col(f"`{id_col}`"), F.lit(NO_ID)).cast("long")
+    rows = plain.select("*", line_id.alias("_line_id"), row_hash(id_col, text_col).alias("_line_row"))
+    gone = dropped.select(F.col("doc_id").alias("_line_id"), F.col("row").alias("_line_row"), F.col("lines.h1").alias("_line_h1"), F.col("lines.h2").alias("_line_h2"))
+    rows = rows.join(gone, ["_line_id", "_line_row"], "left").drop("_line_id", "_line_row")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,27 +178,29 @@ def drop_lines(docs: DataFrame, dropped: DataFrame, *, id_col: str, text_col: st
                     n_dropped.append(0)
                 texts.append(text)
             new = [pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *new], names=[*kept, "n_lines", "n_dropped", "kept_text"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in told), *new], names=[*(kept[i] for i in told), "n_lines", "n_dropped", "kept_text"])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[F.col(f"`{c}`") for c in kept]).schema]
-    return rows.mapInArrow(apply, ", ".join([*fields, "n_lines long", "n_dropped long", "kept_text string"]))
+    fields = arrow_fields(plain.select(*[F.col(f"`{kept[i]}`") for i in told]))
+    return rows.mapInArrow(apply, ", ".join([*([fields] if fields else []), "n_lines long", "n_dropped long", "kept_text string"]))
 
 
-def id_ranges(docs: DataFrame, id_col: str, batches: int) -> list[DataFrame]:
-    """The documents in ranges of their id, newest (largest) first; null ids come with the oldest."""
-    low, high = docs.agg(F.min(id_col), F.max(id_col)).first()
-    if low is None:
-        return [docs]
-    step = (high - low) // batches + 1
-    edges = [low + step * i for i in range(1, batches)]
-    column = F.col(f"`{id_col}`")
-    parts = [docs.filter((column < edges[0]) | column.isNull()) if edges else docs]
-    parts += [docs.filter((column >= a) & (column < b)) for a, b in zip(edges, edges[1:], strict=False)]
-    return [*parts, docs.filter(column >= edges[-1])][::-1] if edges else parts
+def batch_number(docs: DataFrame, id_col: str, batches: int) -> Column:
+    """The number of the range of ids, from 0 for the smallest ids and null, that a document lies in."""
+    low, high = docs.agg(F.min(F.col(f"`{id_col}`").cast("long")), F.max(F.col(f"`{id_col}`").cast("long"))).first()
+    out = F.lit(0)
+    if low is not None:
+        step = (high - low) // batches + 1
+        for edge in range(low + step, high + 1, step):
+            out = out + F.coalesce(F.col(f"`{id_col}`").cast("long") >= edge, F.lit(False)).cast("int")
+    return out
 
 
-def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: int = 40, min_docs: int = 5, batches: int = 4, fanout: int = 3, folder: str | None = None) -> DataFrame:
-    """Drop repeated lines. Returns docs plus n_lines, n_dropped, kept_text (columns of those names are replaced).
+def dedup(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: int = 40, min_docs: int = 5, batches: int = 4, fanout: int = 3, folder: str | None = None,
+    keep_text: bool = True,
+) -> DataFrame:
+    """Drop repeated lines. Returns docs plus n_lines, n_dropped, kept_text (columns of those names are replaced);
+    without ``keep_text`` the text column goes.
 
     A line's key is the line with white space stripped at both ends and A-Z lowered. Keys of at least ``least``
     code points that at least ``min_docs`` documents hold lose all their lines, except in the document with the
@@ -164,19 +208,18 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
     other. Rows with the same id count as separate documents; the largest id keeps its lines in all of them. An
     empty table gives no rows. Texts of any length are read whole.
 
-    The documents enter the store in ``batches`` id ranges, newest first. Lines that recur across many documents
-    are summed per task before each shuffle; the list of dropped lines of a document is bounded by its own lines.
+    The documents enter the store in ``batches`` id ranges, newest first; one pass hashes the lines of all of them.
+    Lines that recur across many documents are summed per task before each shuffle and joined back by a broadcast
+    of the frequent ones; the list of dropped lines of a row is bounded by its own lines.
     """
     spark = docs.sparkSession
     store = LineRuns(spark, folder or fresh_dir(spark, "line-store"), fanout=fanout, new=True)
-    every = []
-    for part in id_ranges(docs, id_col, batches):
-        own = stash(postings(part, id_col=id_col, text_col=text_col, least=least), "line-postings")
-        store.add(own)
-        every.append(own)
-    held = every[0]
-    for own in every[1:]:
-        held = held.unionByName(own)
-    gone = held.join(store.repeated(min_docs), ["h1", "h2"]).filter("doc_id <> keeper")
-    dropped = gone.groupBy("doc_id").agg(F.collect_list(F.struct("h1", "h2")).alias("lines"))
-    return drop_lines(docs, dropped, id_col=id_col, text_col=text_col, least=least)
+    number = batch_number(docs, id_col, batches)
+    held_in = fresh_dir(spark, "line-postings")
+    postings(docs, id_col=id_col, text_col=text_col, least=least, batch=number).write.partitionBy("batch").parquet(held_in)
+    held = spark.read.schema("h1 long, h2 long, doc_id long, row long, batch int").parquet(held_in)
+    for k in reversed(range(batches)):
+        store.add(held.filter(F.col("batch") == k))
+    repeated = stash(store.repeated(min_docs), "repeated-lines")
+    dropped = stash(lines_to_drop(held.drop("batch"), repeated, store.buckets), "dropped-lines")
+    return drop_lines(docs, dropped, id_col=id_col, text_col=text_col, least=least, keep_text=keep_text)
