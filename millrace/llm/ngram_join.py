@@ -23,11 +23,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.llm.common import NO_ID, cut, stash, text_of
+from millrace.llm.common import bounded_batches, cut, node_id, real_id, stash, text_of
 from millrace.llm.components import components
 from millrace.llm.shingles import shingle_set
 
@@ -101,9 +102,8 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def heads(docs: DataFrame, sketch: np.ndarray, p: Params) -> DataFrame:
+def heads(docs: DataFrame, shared: Broadcast, p: Params) -> DataFrame:
     """(doc_id, n, s1, s2, pkey, parity, prefix): size, digest of the set, hash of size and prefix, parity sketch, the prefix itself."""
-    shared = docs.sparkSession.sparkContext.broadcast(sketch)
     names = [f"p{i}" for i in range(PARITY_LONGS)]
 
     def head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,7 +241,9 @@ def needed_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(open_cells[batch.column(2).to_numpy()])).select([0, 1])
 
-    return stash(docs.select(F.col("doc_id").alias("id"), "text", cell.alias("cell")).mapInArrow(pick, "id long, text string"), "texts")
+    texts = stash(docs.select(F.col("doc_id").alias("id"), "text", cell.alias("cell")).mapInArrow(pick, "id long, text string"), "texts")
+    shared.destroy()
+    return texts
 
 
 def verified(pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
@@ -268,9 +270,12 @@ def verified(pairs: DataFrame, docs: DataFrame, p: Params) -> DataFrame:
 
 def prepared(docs: DataFrame, id_col: str, text_col: str, p: Params) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
     """(doc_id, text), the heads of all rows, those that are not empty, the postings of groups and the distinct sets."""
-    docs = docs.select(F.coalesce(F.col(id_col), F.lit(NO_ID)).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    bounded_batches(docs.sparkSession)
+    docs = docs.select(node_id(id_col, text_col).alias("doc_id"), text_of(text_col).alias("text"))
     bits = min(MOST_BITS, max(LEAST_BITS, int(docs.count()).bit_length() + 2))
-    rows = stash(heads(docs, count_sketch(docs, p, bits), p), "heads")
+    sketch = docs.sparkSession.sparkContext.broadcast(count_sketch(docs, p, bits))
+    rows = stash(heads(docs, sketch, p), "heads")
+    sketch.destroy()
 
     some = rows.filter("n > 0")
     groups = some.groupBy("n", "pkey").agg(F.min("doc_id").alias("gid"), F.first("prefix").alias("prefix"))
@@ -318,20 +323,22 @@ def near_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     both = links.union(links.select("b", "a")).toDF("rep_id", "other")
     far = both.join(classes.groupBy(F.col("rep_id").alias("other")).agg(F.sum("size").alias("size")), "other").groupBy("rep_id").agg(F.sum("size").alias("far"))
     counted = classes.join(far, "rep_id", "left").select(*key, "rep_id", (F.col("size") - 1 + F.coalesce("far", F.lit(0))).cast("long").alias("n_links"))
-    real = lambda c: F.nullif(c, F.lit(NO_ID))
     out = rows.select("doc_id", *key).join(counted, key, "left")
-    members = out.select(real(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), real(F.coalesce("rep_id", "doc_id")).alias("rep_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
-    return links.select(real(F.col("a")).alias("a"), real(F.col("b")).alias("b")), members
+    members = out.select(real_id("doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), real_id(F.coalesce("rep_id", "doc_id")).alias("rep_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    return links.select(real_id("a").alias("a"), real_id("b").alias("b")), members
 
 
-def near_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", params: Params = Params()) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id (the smallest id reachable by links, itself included).
+def near_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", params: Params = Params(), keep_node: bool = False) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id (the smallest id reachable by links, itself included), and
+    kept: whether the row's document is that one. ``keep_node`` adds node, the id by which rows are told apart (see
+    ``node_id``).
 
     A document's set holds the hashes (64 bits) of its distinct shingles of ``width`` words, A-Z lowered; with fewer
     words the whole sequence counts as one; without words the set is empty and links with nothing. Null text counts
-    as empty. Rows with the same id are one document for links (each with its own set). A null id is a document of
-    its own that sorts before all others and comes back as null. An empty table gives no rows; other columns are
-    ignored; texts are read whole. Equal sets are joined before any pair is made.
+    as empty. Rows with the same id are one document for links (each with its own set). A row without an id is a
+    document of its own (rows without an id and with equal texts are one) that sorts before all others; its id, and
+    the component_id where it is the smallest, are null. An empty table gives no rows; other columns are ignored;
+    texts are read whole. Equal sets are joined before any pair is made.
     """
     p = params
     docs, rows, some, postings, reps = prepared(docs, id_col, text_col, p)
@@ -354,5 +361,6 @@ def near_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     equal = some.join(reps.select("n", "pkey", "s1", "s2", "rep"), ["n", "pkey", "s1", "s2"]).filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     whole = components(links.union(more).union(equal))
     out = rows.select("doc_id", "n").join(whole.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-    real = lambda c: F.nullif(c, F.lit(NO_ID))
-    return out.select(real(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), real(F.coalesce("component", "doc_id")).alias("component_id"))
+    component = F.coalesce("component", "doc_id")
+    node = [F.col("doc_id").alias("node")] if keep_node else []
+    return out.select(real_id("doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), real_id(component).alias("component_id"), (F.col("doc_id") == component).alias("kept"), *node)

@@ -79,7 +79,7 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 @register("op5_line_dedup", _LINES)
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_runs.dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+    return line_runs.dedup(docs, keep_text=False).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 def _remainder(column: str, parts: int):
@@ -93,7 +93,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(_remainder("doc_id", 4) == 2, F.lit(False))
     model = language_id.fit(docs.select("doc_id", "text", "lang"), ~held_out)
-    return language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+    return language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model, keep_text=False)
 
 
 @register("op6_quality_classifier")
@@ -102,7 +102,7 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = F.coalesce(_remainder("doc_id", 3) == 1, F.lit(False))
     model = byte_cnn.fit(docs.select("doc_id", "text"), labels.select("doc_id", "quality"), ~held_out)
-    return byte_cnn.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
+    return byte_cnn.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model, keep_text=False)
 
 
 @register("op10_mixing")
@@ -126,7 +126,7 @@ def piece_model(path: str = PIECE_MODEL) -> bytes:
 @register("op9_sentencepiece")
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pieces.encode(docs, piece_model()).drop("text")
+    return pieces.encode(docs, piece_model(), keep_text=False)
 
 
 _JACCARD = r"""
@@ -145,7 +145,7 @@ SELECT d.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.b) AS component_id F
 @register("op7_ngram_jaccard", _JACCARD)
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return ngram_join.near_components(docs, params=ngram_join.Params(width=3, percent=90))
+    return ngram_join.near_components(docs, params=ngram_join.Params(width=3, percent=90)).drop("kept")
 
 
 _LINKS = _JACCARD[: _JACCARD.index(",\n r AS (")] + """
