@@ -1,7 +1,11 @@
 """The corpus pipeline: quality, line dedup, near-duplicate join, mixing, encoding.
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame, which is
-written as Parquet and read back as the next stage's docs. All but the last return the columns of ``documents``.
+written as Parquet and read back as the next stage's docs. All but the last return the columns of ``documents``
+(doc_id, text, lang, source, n_chars) and leave out any other column of their input, whatever its name.
+
+All stages treat rows by themselves where nothing else is said, so repeated rows agree; an empty table gives an empty
+table; texts of any length are read whole; nulls in lang, source and n_chars are passed on.
 """
 
 from __future__ import annotations
@@ -10,40 +14,56 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import byte_cnn, line_runs, mixing, ngram_join, pieces
-from millrace.llm.common import stash, table
+from millrace.llm.common import node_id, stash, table
 from millrace.llm.queries import piece_model
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects (score below 0.5) go. It is fitted on all labels of these documents."""
+    """Documents that the classifier rejects (score below 0.5) go. It is fitted on all labels of these documents.
+
+    A null text is scored as an empty one. Without labels, or with labels of one kind, all documents have one score.
+    """
     model = byte_cnn.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "quality"), F.lit(True))
     return byte_cnn.score(docs.select(*COLUMNS), model).filter("predicted = 1").select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of 40 characters and more in at least 5 documents stay only in the one with the largest id."""
-    found = line_runs.dedup(docs.select(*COLUMNS))
+    """Lines of 40 characters and more in at least 5 documents stay only in the one with the largest id.
+
+    Every row stays, with its other lines and their number of characters; a null text becomes an empty one. Rows with
+    the same id count as separate documents and keep a line together; a null id is smaller than all others.
+    """
+    found = line_runs.dedup(docs.select(*COLUMNS), keep_text=False)
     return found.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("long").alias("n_chars"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id: five words, similarity of 0.8 or more."""
+    """One document of each group stays, the one with the smallest id: five words, similarity of 0.8 or more.
+
+    Rows with the same id are one document and stay or go together. A document without an id comes before all others,
+    so it stays; of several such in one group, which are no copies of each other, one stays. Empty and null texts are
+    in no group and stay.
+    """
     docs = docs.select(*COLUMNS)
-    groups = ngram_join.near_components(docs)
-    gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    groups = ngram_join.near_components(docs, keep_node=True)
+    gone = groups.filter("NOT kept").select("node").distinct()
+    return docs.withColumn("node", node_id("doc_id", "text")).join(gone, "node", "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Draw documents by the probabilities that bring sources and languages to their target weights."""
+    """Draw documents by the probabilities that bring sources, languages and topics to their target weights.
+
+    A null source or language is a value of its own. Whether a document is drawn follows from its id, so rows with one
+    id and one probability are drawn or left together; documents without an id draw alike.
+    """
     return mixing.mix(docs.select(*COLUMNS)).filter("drawn").select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every text."""
-    return pieces.encode(docs.select(*COLUMNS), piece_model()).drop("text")
+    """Piece ids of every text, in place of the text; null and empty texts have none."""
+    return pieces.encode(docs.select(*COLUMNS), piece_model(), keep_text=False)
 
 
 STAGES = [("quality", quality), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates), ("mix_sources", mix_sources), ("encode", encode)]
