@@ -110,3 +110,37 @@ def shard_name(k: Column) -> Column:
 
 def record_path(video: Column) -> Column:
     return F.concat(F.lit("videos/"), F.substr(video, F.lit(1), F.lit(2)), F.lit("/"), video, F.lit(".json"))
+
+
+def watch_url(video: Column) -> Column:
+    return F.concat(F.lit("https://www.youtube.com/watch?v="), video)
+
+
+def channel_url(channel: Column) -> Column:
+    return F.concat(F.lit("https://www.youtube.com/channel/"), channel)
+
+
+def channel_source(kind: Column, channel: Column) -> Column:
+    """The source tag of a channel's uploads: channel:<id> for seeds, expand:<id> for others."""
+    return F.concat(F.when(kind == "seed", "channel:").otherwise("expand:"), channel)
+
+
+def search_source(query: Column) -> Column:
+    return F.concat(F.lit("search:"), query)
+
+
+def next_token(body: Column) -> Column:
+    """The token of the next page of a list response; null if there is none, an empty one, or no text."""
+    token = F.get_json_object(body, "$.nextPageToken")
+    quoted = F.from_json(body, "nextPageToken variant")["nextPageToken"]
+    return F.when(F.schema_of_variant(quoted) == "STRING", F.nullif(token, F.lit("")))
+
+
+def batch_name(ts_ntz: Column) -> Column:
+    """The name of a batch begun at a UTC time, such as 20240131-235959."""
+    return F.date_format(ts_ntz, "yyyyMMdd-HHmmss")
+
+
+def rfc3339(ts_ntz: Column) -> Column:
+    """A UTC time to the second, with its offset."""
+    return F.date_format(ts_ntz, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")

@@ -6,17 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from millrace.functions.positions import with_running_sum
+
 RETRIES = 5
+EXHAUSTED = ("quotaExceeded", "dailyLimitExceeded")
 
 
 def search_budget(pages: DataFrame, quota: int, pages_per_query: int, cost: int = 100, spent: int = 0) -> DataFrame:
     """The pages (query, query_pos, page) that may be fetched: the first few of each query, in query order, until
     the next call would overdraw the search quota. All calls cost the same, so a query's start follows from the
-    page counts of the queries before it; that running sum has a row per query."""
+    page counts of the queries before it; that running sum goes over range partitions with a row per query."""
     few = pages.filter(F.col("page") < pages_per_query)
     rank = F.row_number().over(Window.partitionBy("query_pos", "query").orderBy("page")) - 1
     sizes = few.groupBy("query_pos", "query").agg(F.count(F.lit(1)).alias("n"))
-    before = sizes.withColumn("before", F.sum("n").over(Window.orderBy("query_pos", "query")) - F.col("n")).drop("n")
+    before = with_running_sum(sizes, "n", "query_pos", "query", name="_upto").withColumn("before", F.col("_upto") - F.col("n")).drop("n", "_upto")
     placed = few.withColumn("rank", rank).join(before, ["query_pos", "query"])
     units = spent + (F.col("before") + F.col("rank") + 1) * cost
     return placed.withColumn("units", units.cast("long")).filter(F.col("units") <= quota).drop("rank", "before")
@@ -28,16 +31,53 @@ def upload_cap(pages: DataFrame, cap: int) -> DataFrame:
     return pages.withColumn("found_before", before.cast("long")).filter(F.col("found_before") < cap)
 
 
+def search_resume(pages: DataFrame, pages_per_query: int) -> DataFrame:
+    """pages(query, at, next), a row per page fetched in the order of ``at``, next the token of the page after it ->
+    (query, pages, next, done): where each search goes on. Done without a next page or after ``pages_per_query``."""
+    last = F.max_by(F.struct("next"), F.col("at")).alias("last")
+    out = pages.groupBy("query").agg(F.count(F.lit(1)).alias("pages"), last)
+    return out.select("query", "pages", F.col("last.next").alias("next"), (F.col("last.next").isNull() | (F.col("pages") >= pages_per_query)).alias("done"))
+
+
+def search_next(state: DataFrame, listed: DataFrame, quota: int, pages_per_query: int, cost: int = 100, spent: int = 0) -> DataFrame:
+    """The calls of the next run: for each of listed(query, query_pos) that is not done the pages that it still may take,
+    in list order, until the quota is spent; the first call of a search starts at its token.
+
+    A search without a state starts at its first page."""
+    have = listed.join(state, "query", "left").filter(~F.coalesce("done", F.lit(False)))
+    first = F.coalesce("pages", F.lit(0)).cast("long")
+    have = have.filter(first < pages_per_query).withColumn("page", F.explode(F.sequence(first, F.lit(pages_per_query - 1).cast("long"))))
+    have = have.withColumn("token", F.when(F.col("page") == first, F.col("next"))).select("query", "query_pos", "page", "token")
+    return search_budget(have, quota, pages_per_query, cost, spent)
+
+
+def upload_resume(pages: DataFrame, cap: int) -> DataFrame:
+    """pages(channel, at, n, next) -> (channel, found, next, done, note): a channel is done without a next page, or once
+    it has given ``cap`` uploads, which is noted."""
+    last = F.max_by(F.struct("next"), F.col("at")).alias("last")
+    out = pages.groupBy("channel").agg(F.sum("n").cast("long").alias("found"), last)
+    ended, full = F.col("last.next").isNull(), F.col("found") >= cap
+    return out.select("channel", "found", F.col("last.next").alias("next"), (ended | full).alias("done"), F.when(~ended & full, "max_uploads_per_channel").alias("note"))
+
+
 def quota_by_day(ledger: DataFrame) -> DataFrame:
     """ledger(day, cost, search) -> units used per day, and those of searches."""
     return ledger.groupBy("day").agg(F.sum("cost").cast("long").alias("used"), F.sum(F.when(F.col("search"), F.col("cost")).otherwise(0)).cast("long").alias("search_used"), F.count(F.lit(1)).alias("calls"))
 
 
-def quota_guard(ledger: DataFrame, quota: int) -> DataFrame:
-    """Per day the calls that the quota lets through, in the order of their id; the first refusal ends the day's run."""
-    running = F.sum("cost").over(Window.partitionBy("day").orderBy("id"))
-    rows = ledger.withColumn("running", running)
+def quota_guard(ledger: DataFrame, quota: int, reason: str | None = None) -> DataFrame:
+    """Per day the calls that the quota lets through, in the order of their id; the first refusal ends the day's run.
+
+    reason: a column with the reason of the response; one that says the quota is exhausted was paid for, and leaves
+    nothing for the calls after it.
+    """
+    so_far = Window.partitionBy("day").orderBy("id")
+    rows = ledger.withColumn("running", F.sum("cost").over(so_far))
     ok = F.col("running") <= quota
+    if reason is not None:
+        told = F.when(F.col(reason).isin(*EXHAUSTED), 1).otherwise(0)
+        rows = rows.withColumn("_told", F.coalesce(F.sum(told).over(so_far.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        ok = ok & (F.col("_told") == 0)
     return rows.groupBy("day").agg(F.count_if(ok).alias("allowed"), F.coalesce(F.max(F.when(ok, F.col("running"))), F.lit(0)).cast("long").alias("used"), F.min(F.when(~ok, F.col("id"))).alias("refused_at"))
 
 
@@ -50,7 +90,7 @@ def api_outcomes(responses: DataFrame) -> DataFrame:
     transient = F.col("status").isNull() | (F.col("status") >= 500) | F.col("reason").isin("rateLimitExceeded", "userRateLimitExceeded")
     outcome = (
         F.when(F.col("status") == 200, "ok").when(F.col("status") == 404, "empty")
-        .when(F.col("status").isNotNull() & F.col("reason").isin("quotaExceeded", "dailyLimitExceeded"), "out_of_quota")
+        .when(F.col("status").isNotNull() & F.col("reason").isin(*EXHAUSTED), "out_of_quota")
         .when(transient & (F.col("attempt") < RETRIES), "retry").otherwise("error")
     )
     wait = F.when(F.col("outcome") == "retry", F.pow(F.lit(2), F.col("attempt") + 1))

@@ -39,6 +39,26 @@ def unplanned(videos: DataFrame) -> DataFrame:
     return videos.filter("status = 'accepted' AND batch IS NULL AND fetch_state IS NULL")
 
 
+def unchecked(videos: DataFrame, limit: int | None = None) -> DataFrame:
+    """Videos that no check has seen yet (status new), the first ``limit`` by seq; all without a limit."""
+    new = videos.filter("status = 'new'")
+    return new if limit is None else new.orderBy("seq").limit(limit)
+
+
+def find_channels(wanted: DataFrame, responses: DataFrame) -> DataFrame:
+    """wanted(channel) -> (channel, resolved, uploads, note): what the lookup of a handle (@name) or id gave.
+
+    responses(handle, id, pos, uploads): the items of all lookups. The first item (by pos) of its handle answers a
+    handle, that of its id an id; without one, or if it lacks its id or uploads, the channel is "not found".
+    """
+    by = F.explode(F.array("handle", "id")).alias("channel")
+    items = responses.select(by, "id", "uploads", "pos").filter("channel IS NOT NULL")
+    first = items.groupBy("channel").agg(F.min_by(F.struct("id", "uploads"), F.struct("pos", "id", "uploads")).alias("f"))
+    whole = F.col("f.id").isNotNull() & F.col("f.uploads").isNotNull()
+    out = wanted.select("channel").distinct().join(first, "channel", "left")
+    return out.select("channel", F.when(whole, F.col("f.id")).alias("resolved"), F.when(whole, F.col("f.uploads")).alias("uploads"), F.when(~F.coalesce(whole, F.lit(False)), "not found").alias("note"))
+
+
 def expand_hop(checked: DataFrame, uploads: DataFrame) -> DataFrame:
     """(id, source) of uploads(channel_id, id) of the channels of accepted direct videos that are not known yet.
 
@@ -96,16 +116,18 @@ def batches(videos: DataFrame, size: int, order: str = "seq") -> DataFrame:
 
 def counts(videos: DataFrame, searches: DataFrame, channels: DataFrame) -> DataFrame:
     """(what, n): videos by status, accepted by source class, waiting, rejected by class, searches, channels."""
-    n = F.count(F.lit(1)).alias("n")
+    accepted, rejected, waiting = F.col("status") == "accepted", F.col("status") == "rejected", "accepted, not planned or queued-done"
+    of_video = F.array(
+        F.concat(F.lit("videos "), "status"), F.when(accepted, F.concat(F.lit("accepted from "), source_class(F.col("source")))),
+        F.when(accepted & F.col("batch").isNull() & F.col("fetch_state").isNull(), waiting), F.when(rejected, F.concat(F.lit("rejected: "), F.split_part("reason", F.lit(":"), F.lit(1)))),
+    )
     parts = [
-        videos.groupBy(F.concat(F.lit("videos "), "status").alias("what")).agg(n),
-        videos.filter("status = 'accepted'").groupBy(F.concat(F.lit("accepted from "), source_class(F.col("source"))).alias("what")).agg(n),
-        unplanned(videos).agg(n).select(F.lit("accepted, not planned or queued-done").alias("what"), "n"),
-        videos.filter("status = 'rejected'").groupBy(F.concat(F.lit("rejected: "), F.split_part("reason", F.lit(":"), F.lit(1))).alias("what")).agg(n),
-        searches.groupBy(F.concat(F.lit("searches "), F.when(F.col("done"), "done").otherwise("pending")).alias("what")).agg(n),
-        channels.groupBy(F.concat(F.lit("channels "), "kind", F.when(F.col("done"), " done").otherwise(" pending")).alias("what")).agg(n),
+        videos.select(F.explode(of_video).alias("what"), F.lit(1).alias("n")).filter("what IS NOT NULL"),  # each video is read once
+        videos.sparkSession.createDataFrame([(waiting, 0)], "what string, n int"),
+        searches.select(F.concat(F.lit("searches "), F.when(F.col("done"), "done").otherwise("pending")).alias("what"), F.lit(1).alias("n")),
+        channels.select(F.concat(F.lit("channels "), "kind", F.when(F.col("done"), " done").otherwise(" pending")).alias("what"), F.lit(1).alias("n")),
     ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.groupBy("what").agg(F.sum("n").cast("long").alias("n"))

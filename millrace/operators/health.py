@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.config import Fetch
+from millrace.functions.positions import with_sum_since
 from millrace.functions.scalars import is_strike
 
 HOUR_US = 3_600_000_000
@@ -79,11 +80,46 @@ def ip_wait(ips: DataFrame, as_of_us: int) -> DataFrame:
 
 
 def error_stop(attempts: DataFrame, limit: int) -> DataFrame:
-    """Per worker the first attempt at which ``limit`` failures in a row had added up; only a fetch resets the count."""
-    by_worker = Window.partitionBy("worker").orderBy("ts_us", "id")
-    island = F.sum(F.when(F.col("outcome") == "fetched", 1).otherwise(0)).over(by_worker)
-    within = Window.partitionBy("worker", "_island").orderBy("ts_us", "id")
-    run = F.sum(F.when(F.col("outcome") == "failed", 1).otherwise(0)).over(within)
-    hit = attempts.withColumn("_island", island).withColumn("run", run.cast("long")).filter(F.col("run") >= limit)
-    first = hit.groupBy("worker").agg(F.min(F.struct("ts_us", "id", "run")).alias("f"))
+    """Per worker the first attempt at which ``limit`` failures in a row had added up; only a fetch resets the count.
+
+    A worker's log may be any share of all attempts, so it is not gathered in one window.
+    """
+    failed = F.when(F.col("outcome") == "failed", 1).otherwise(0)
+    runs = with_sum_since(attempts.select("worker", "ts_us", "id", "outcome"), failed, F.col("outcome") == "fetched", "worker", "ts_us", "id", name="run")
+    first = runs.filter(F.col("run") >= limit).groupBy("worker").agg(F.min(F.struct("ts_us", "id", "run")).alias("f"))
     return first.select("worker", F.col("f.id").alias("id"), F.col("f.ts_us").alias("ts_us"), F.col("f.run").alias("run"))
+
+
+def hourly_starts(leases: DataFrame) -> DataFrame:
+    """leases(label, start_us) plus load: leases of the label that began in the hour before (excluded) up to this one.
+
+    A pool of one worker counts the starts of its leases; a shared one counts the ends of attempts (``hourly_load``).
+    """
+    return hourly_load(leases.withColumn("ts_us", F.col("start_us"))).drop("ts_us")
+
+
+def ip_lease(listed: DataFrame, ips: DataFrame, leases: DataFrame, attempts: DataFrame, as_of_us: int, cap: int, hold_s: int = 3_600) -> DataFrame:
+    """What each pool of addresses gives at ``as_of_us``: (pool, outcome, label, lease_until_us, wait_s).
+
+    listed(pool, label): the labels of each pool, used or not. ips: their health (``ip_health``; none: never used).
+    leases(label, lease_until_us): the last lease. outcome: "take" with the label to lease, the least recently used one
+    (never used ones first, ties by label) that is not retired, has rested, is not leased and is under the hourly cap
+    (0: none); "all_retired"; or "wait", wait_s being the seconds until the first label that is not retired has
+    rested, but 0.2 at least and 5 at most, as other workers give labels back too.
+    """
+    held = leases.groupBy("label").agg(F.max("lease_until_us").alias("lease_until_us"))
+    rows = listed.select("pool", "label").distinct().join(ips.select("label", "retired", "rest_until_us", "last_used_us"), "label", "left").join(held, "label", "left")
+    rows = _with_load(rows, attempts, as_of_us).withColumn("retired", F.coalesce("retired", F.lit(False)))
+    rest = F.when(~F.col("retired") & (F.col("rest_until_us") > as_of_us), F.col("rest_until_us") - as_of_us)
+    leased = F.coalesce(F.col("lease_until_us") >= as_of_us, F.lit(False))
+    free = ~F.col("retired") & rest.isNull() & ~leased
+    if cap > 0:
+        free = free & (F.col("load") < cap)
+    out = rows.groupBy("pool").agg(F.min(F.when(free, F.struct("last_used_us", "label"))).alias("pick"), F.min(rest).alias("rest"), F.bool_and("retired").alias("gone"))
+    take = F.col("pick").isNotNull()
+    outcome = F.when(take, "take").when(F.col("gone"), "all_retired").otherwise("wait")
+    wait = F.least(F.greatest(F.coalesce(F.col("rest") / 1e6, F.lit(5.0)), F.lit(0.2)), F.lit(5.0))
+    return out.select(
+        "pool", outcome.alias("outcome"), F.col("pick.label").alias("label"), F.when(take, F.lit(as_of_us + hold_s * 1_000_000)).cast("long").alias("lease_until_us"),
+        F.when(outcome == "wait", wait).alias("wait_s"),
+    )

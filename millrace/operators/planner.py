@@ -22,8 +22,12 @@ def shards(layout: DataFrame) -> DataFrame:
     return layout.groupBy("batch", "shard").agg(F.count(F.lit(1)).alias("videos"))
 
 
-def slot_assignment(shard_list: DataFrame, world: int, jobs: int) -> DataFrame:
-    """shard_list(batch, shard) plus index (oldest batch first), slot, rank and job of the slot."""
+def slot_assignment(shard_list: DataFrame, world: int, jobs: int, batch: str | None = None) -> DataFrame:
+    """shard_list(batch, shard) plus index (oldest batch first), slot, rank and job of the slot.
+
+    With ``batch`` only its shards are numbered and dealt."""
+    if batch is not None:
+        shard_list = shard_list.filter(F.col("batch") == batch)
     out = with_position(shard_list, "batch", "shard", name="index").withColumn("slot", F.pmod("index", F.lit(world * jobs)).cast("long"))
     return out.withColumn("rank", F.floor(F.col("slot") / jobs).cast("long")).withColumn("job", F.pmod("slot", F.lit(jobs)).cast("long"))
 

@@ -25,7 +25,8 @@ def queue_state(events: DataFrame) -> DataFrame:
     """Per video: leases taken, final state and bytes (last finish wins), lease_owner and lease_until_us.
 
     events(video, at_us, eid, kind, worker, hold_s, state, bytes). A lease or its renewal holds until at + hold; a
-    requeue frees the owner and holds the video back until at + delay; a finish clears both. One window per video.
+    requeue frees the owner and holds the video back until at + delay (0 where the worker stopped: free at once); a
+    finish clears both. One window per video.
     """
     live = _valid(events).filter("live")
     me = F.struct("at_us", "eid")
@@ -61,11 +62,13 @@ def leasable(videos: DataFrame, state: DataFrame, as_of_us: int) -> DataFrame:
 
 
 def lease_next(free: DataFrame, limit: int, workers: int, as_of_us: int, lease_s: int) -> DataFrame:
-    """The next ``limit`` videos (direct first, then seq) dealt over the workers, attempts + 1, leased from ``as_of_us``."""
+    """The next ``limit`` videos (direct first, then seq) dealt over the workers, attempts + 1, leased from ``as_of_us``;
+    given back in the order of seq alone."""
     order = ((~is_direct(F.col("source"))).asc(), F.col("seq").asc())
     top = free.orderBy(*order).limit(limit)
     place = F.row_number().over(Window.orderBy(*order)) - 1  # over the few rows of the limit
-    return top.select("id", "seq", "source", F.pmod(place, F.lit(workers)).cast("long").alias("worker"), (F.col("attempts") + 1).cast("long").alias("attempts"), F.lit(as_of_us + lease_s * SECOND_US).cast("long").alias("lease_until_us"))
+    out = top.select("id", "seq", "source", F.pmod(place, F.lit(workers)).cast("long").alias("worker"), (F.col("attempts") + 1).cast("long").alias("attempts"), F.lit(as_of_us + lease_s * SECOND_US).cast("long").alias("lease_until_us"))
+    return out.orderBy("seq")
 
 
 def final_outcomes(videos: DataFrame, attempts: DataFrame, max_attempts: int) -> DataFrame:

@@ -45,6 +45,25 @@ def run_counters(attempts: DataFrame) -> DataFrame:
     return attempts.groupBy("worker").agg(*[F.count_if(F.col("outcome") == k).alias(k) for k in kinds], F.sum("bytes").cast("long").alias("bytes"), F.sum("duration_s").cast("long").alias("duration_s"))
 
 
+def discover_counters(checks: DataFrame, pages: DataFrame, channels: DataFrame, ledger: DataFrame) -> DataFrame:
+    """What a discovery run did, as (counter, n): ids added, accepted, rejected and gone, channels done, search pages,
+    units used, and 1 or 0 for running out of quota.
+
+    checks(status), a row per id: new, accepted, rejected or gone. pages(kind), a row per page read. channels(done).
+    ledger(cost, refused).
+    """
+    one = lambda rows, name, n: rows.select(F.lit(name).alias("counter"), n.cast("long").alias("n"))
+    flag = lambda x: F.when(x, 1).otherwise(0)
+    status = F.col("status")
+    parts = [one(checks, "added", F.lit(1))] + [one(checks, k, flag(status == k)) for k in ("accepted", "rejected", "gone")]
+    parts += [one(channels, "channels", flag(F.col("done"))), one(pages, "search_pages", flag(F.col("kind") == "search")), one(ledger, "quota_used", flag(~F.col("refused")) * F.col("cost"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    out_of = ledger.agg(F.coalesce(F.max(flag(F.col("refused"))), F.lit(0)).cast("long").alias("n")).select(F.lit("out_of_quota").alias("counter"), "n")
+    return out.groupBy("counter").agg(F.sum("n").alias("n")).union(out_of)
+
+
 def record_bytes(records: DataFrame) -> DataFrame:
     """records plus bytes: the sum over their files(path, bytes, sha256)."""
     return records.withColumn("bytes", F.aggregate("files", F.lit(0).cast("long"), lambda a, f: a + f["bytes"]))

@@ -2,34 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions.scalars import parse_duration, strip, video_id
 
-ITEM = (
-    "id string, snippet struct<title: string, channelId: string, channelTitle: string, publishedAt: string, liveBroadcastContent: string, defaultAudioLanguage: string, "
-    "defaultLanguage: string>, contentDetails struct<duration: string, contentRating: struct<ytRating: string>>, status struct<license: string, privacyStatus: string, madeForKids: boolean>"
+#: Texts are read as variants, so that a number in the place of a text is told apart from it.
+RESPONSE = (
+    "items array<struct<id: variant, snippet: struct<title: variant, channelId: variant, channelTitle: variant, publishedAt: variant, liveBroadcastContent: variant, "
+    "defaultAudioLanguage: variant, defaultLanguage: variant>, contentDetails: struct<duration: variant, contentRating: struct<ytRating: variant>>, "
+    "status: struct<license: variant, privacyStatus: variant, madeForKids: variant>>>"
 )
 PORTS = {"http": 80, "https": 443, "socks5": 1080, "socks5h": 1080}
 
 
 def items(responses: DataFrame) -> DataFrame:
-    """responses(body) -> a row per video item; bad JSON, no items, or an item without an id give no row.
+    """responses(body) -> a row per video item; bad JSON, no items, or an item whose id is no text give no row.
 
-    Absent texts read as empty, absent or bad durations as 0, live as "none", flags as false.
+    Texts that are absent or no texts read as empty, absent or bad durations as 0, live as "none", flags as false.
     """
-    parsed = F.from_json("body", f"struct<items: array<struct<{ITEM.replace(' string', ': string').replace(' struct<', ': struct<').replace(':: ', ': ')}>>>")
-    rows = responses.select(F.explode(parsed["items"]).alias("i")).filter("i.id IS NOT NULL")
-    text = lambda path: F.coalesce(F.col(f"i.{path}"), F.lit(""))
+    parsed = F.from_json("body", RESPONSE)
+
+    def of(path: str, kind: str = "string") -> Column:
+        value = F.col(f"i.{path}")
+        return F.when(F.schema_of_variant(value) == kind.upper(), F.try_variant_get(value, "$", kind))
+
+    rows = responses.select(F.explode(parsed["items"]).alias("i")).withColumn("_id", of("id")).filter("_id IS NOT NULL")
+    text = lambda path: F.coalesce(of(path), F.lit(""))
     return rows.select(
-        F.col("i.id").alias("id"), text("snippet.title").alias("title"), text("snippet.channelId").alias("channel_id"), text("snippet.channelTitle").alias("channel_title"),
-        text("snippet.publishedAt").alias("published_at"), F.coalesce(parse_duration(F.col("i.contentDetails.duration")), F.lit(0)).alias("duration_s"),
-        text("status.license").alias("license"), F.coalesce("i.snippet.liveBroadcastContent", F.lit("none")).alias("live"),
-        F.coalesce(F.col("i.contentDetails.contentRating.ytRating") == "ytAgeRestricted", F.lit(False)).alias("age_restricted"),
-        F.coalesce("i.status.madeForKids", F.lit(False)).alias("made_for_kids"), text("status.privacyStatus").alias("privacy"),
-        F.coalesce("i.snippet.defaultAudioLanguage", "i.snippet.defaultLanguage").alias("language"),
+        F.col("_id").alias("id"), text("snippet.title").alias("title"), text("snippet.channelId").alias("channel_id"), text("snippet.channelTitle").alias("channel_title"),
+        text("snippet.publishedAt").alias("published_at"), F.coalesce(parse_duration(text("contentDetails.duration")), F.lit(0)).alias("duration_s"),
+        text("status.license").alias("license"), F.coalesce(of("snippet.liveBroadcastContent"), F.lit("none")).alias("live"),
+        (text("contentDetails.contentRating.ytRating") == "ytAgeRestricted").alias("age_restricted"),
+        F.coalesce(of("status.madeForKids", "boolean"), F.lit(False)).alias("made_for_kids"), text("status.privacyStatus").alias("privacy"),
+        F.coalesce(of("snippet.defaultAudioLanguage"), of("snippet.defaultLanguage")).alias("language"),
     )
 
 

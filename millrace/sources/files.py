@@ -32,7 +32,10 @@ def read_batches(spark: SparkSession, store: str) -> DataFrame:
 
 
 def read_shards(spark: SparkSession, store: str, batch: str) -> DataFrame:
-    """The entries of a batch with their shard; a line that is no entry fails the read, a missing batch too."""
+    """The entries of a batch with their shard; a line that is no entry fails the read, and so does a batch that is
+    missing or has no marker, as it may not be whole."""
+    if spark.read.schema(schemas.BATCH).json(f"{store}/batches/{batch}/marker").isEmpty():
+        raise ValueError(f"batch {batch!r} has no marker")
     return spark.read.schema(f"{schemas.ENTRY}, shard long").option("mode", "FAILFAST").json(f"{store}/batches/{batch}/shards")
 
 

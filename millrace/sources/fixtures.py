@@ -25,7 +25,7 @@ FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id
 ATTEMPTS = """
 SELECT event_id AS id, {US} AS ts_us, concat('w', CAST(event_id % 4 AS {S})) AS worker,
  concat('p', CAST(user_id % 4 AS {S}), '/', CAST(user_id AS {S})) AS label, concat('p', CAST(user_id % 4 AS {S})) AS provider,
- concat('v', lpad(CAST(event_id % 1000 AS {S}), 10, '0')) AS video,
+ concat('v', lpad(CAST(event_id % greatest((SELECT count(*) FROM {documents}), 1) AS {S}), 10, '0')) AS video,
  CASE event_type WHEN 'purchase' THEN 'fetched' WHEN 'view' THEN 'fetched' WHEN 'click' THEN 'unavailable' WHEN 'signup' THEN 'failed'
    ELSE CASE WHEN event_id % 2 = 0 THEN 'bot_check' ELSE 'proxy_error' END END AS outcome,
  CASE WHEN event_type IN ('purchase', 'view') THEN CAST(floor(value * 1000) AS bigint) ELSE 0 END AS bytes,
@@ -37,7 +37,7 @@ FROM {events}
 QUEUE_EVENTS = """
 SELECT video, ts_us - 1000000 AS at_us, id * 4 AS eid, 'lease' AS kind, worker, 1800 AS hold_s, CAST(NULL AS {S}) AS state, CAST(0 AS bigint) AS bytes FROM {attempts}
 UNION ALL SELECT video, ts_us - 500000, id * 4 + 1, 'extend', worker, 1800, CAST(NULL AS {S}), CAST(0 AS bigint) FROM {attempts} WHERE id % 3 = 0
-UNION ALL SELECT video, ts_us, id * 4 + 2, 'finish', worker, 0, outcome, bytes FROM {attempts} WHERE outcome IN ('fetched', 'unavailable')
+UNION ALL SELECT video, ts_us, id * 4 + 2, 'finish', worker, 0, outcome, bytes FROM {attempts} WHERE outcome IN ('fetched', 'unavailable') AND id % 7 = 0
 UNION ALL SELECT video, ts_us, id * 4 + 3, 'requeue', worker, 600, CAST(NULL AS {S}), CAST(0 AS bigint) FROM {attempts} WHERE outcome = 'failed'
 """
 
@@ -72,7 +72,7 @@ def api_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(_spark(ATTEMPTS), events=table(spark, sf_dir, "events"))
+    return spark.sql(_spark(ATTEMPTS), events=table(spark, sf_dir, "events"), documents=table(spark, sf_dir, "documents"))
 
 
 def queue_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,6 +26,10 @@ def test_shards_round_trip(spark, tmp_path):
         files.read_shards(spark, str(tmp_path), "b1").collect()
     with pytest.raises(PySparkException):
         files.read_shards(spark, str(tmp_path), "none").collect()
+    for p in (tmp_path / "batches/b1/marker").glob("part-*"):
+        p.unlink()
+    with pytest.raises(ValueError, match="no marker"):
+        files.read_shards(spark, str(tmp_path), "b1")
 
 
 def test_manifests_and_records(spark, tmp_path):
