@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from millrace.llm.common import text_of
+from millrace.llm.common import stash, text_of
 
 
 @dataclass(frozen=True)
@@ -45,6 +45,9 @@ RULES = (
     Rule("hex", 1, r"[0-9a-f]{24,}"),
 )
 
+#: The kinds that ``base_sha256`` covers; rules of other kinds add spans and leave it as it is.
+BASE_KINDS = ("assign", "access", "hex")
+
 SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("kind", T.StringType())])
 LEDGER = T.StructType([T.StructField("blob", T.StringType()), T.StructField("rules", T.ArrayType(T.StringType())), T.StructField("spans", T.ArrayType(SPAN))])
 
@@ -118,7 +121,8 @@ def scan_versions(versions: DataFrame, ledger: str, *, content: str = "content",
     Null content counts as empty and has no findings; repeated rows are each returned; an empty table gives no
     rows; texts of any length are scanned whole. Equal contents are scanned once, whatever their number: the
     first copy is kept by a partial aggregate before the shuffle. A lost run leaves at most ledger rows that a
-    later run repeats; reading removes repeats.
+    later run repeats; reading removes repeats. The findings are written before they are joined back, so that both
+    sides of that join are plain exchanges and Spark splits the rows of a frequent content over several tasks.
     """
     spark = versions.sparkSession
     tags = F.array(*[F.lit(r.tag) for r in rules])
@@ -131,15 +135,17 @@ def scan_versions(versions: DataFrame, ledger: str, *, content: str = "content",
         todo = blobs.join(seen, "blob", "left").withColumn("todo", F.array_except(tags, F.coalesce("seen", F.array().cast("array<string>"))))
         todo = todo.filter(F.size("todo") > 0).drop("seen")
     scan_blobs(todo, rules).write.mode("append").parquet(ledger)
-    found = read_ledger(spark, ledger, rules).select("blob", "spans").filter(F.size("spans") > 0)
+    found = stash(read_ledger(spark, ledger, rules).select("blob", "spans").filter(F.size("spans") > 0), "findings")
     kept = [c for c in versions.columns if c not in (content, "blob", "spans")]
     return versions.select(*[F.col(f"`{c}`") for c in kept], F.sha2(text, 256).alias("blob")).join(found, "blob", "left")
 
 
 def digest(findings: DataFrame, rules: tuple[Rule, ...] = RULES) -> list[Column]:
-    """Columns of the contract from ``spans``: a count per kind, the digest of the spans and the spans as text."""
+    """Columns of the contract from ``spans``: a count per kind, the digest of the base spans and all spans as text."""
     spans = F.coalesce(F.col("spans"), F.array().cast(findings.schema["spans"].dataType))
-    listed = F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    said = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    listed = F.array_join(F.transform(spans, said), ",")
+    base = F.array_join(F.transform(F.filter(spans, lambda s: s["kind"].isin(*BASE_KINDS)), said), ",")
     of_kind = lambda kind: lambda s: s["kind"] == kind  # noqa: E731  (filter() reads a second parameter as the index)
     counts = [F.size(F.filter(spans, of_kind(r.kind))).cast("long").alias(f"n_{r.kind}") for r in rules]
-    return [*counts, F.sha2(listed, 256).alias("base_sha256"), listed.alias("spans")]
+    return [*counts, F.sha2(base, 256).alias("base_sha256"), listed.alias("spans")]
