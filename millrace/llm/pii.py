@@ -1,9 +1,10 @@
 """Format-preserving pseudonyms for personal data, with built-in functions only.
 
-E-mail addresses, dates, phone, social-security and card numbers and IPv4 addresses are found by one pattern and
-validated. Each valid value goes through a keyed Feistel network over its own alphabet and length (dates: over the
-146,097 days of a 400-year cycle), so it becomes another valid value of the same format, and equal values become
-equal pseudonyms in every document, whatever their punctuation. Without the key they cannot be turned back.
+E-mail addresses, dates, phone, social-security, card and bank account numbers and IPv4 addresses are found by one
+pattern and validated. Each valid value goes through a keyed Feistel network over its own alphabet and length (dates:
+over the 146,097 days of their 400-year cycle; social-security numbers: over the numbers that can be issued), so it
+becomes another valid value of the same format, and equal values become equal pseudonyms in every document, whatever
+their punctuation. Without the key they cannot be turned back.
 """
 
 from __future__ import annotations
@@ -14,8 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DIGITS, HEX, ALNUM = "0123456789", "0123456789abcdef", "0123456789abcdefghijklmnopqrstuvwxyz"
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ROUNDS = 8
-KINDS = ("email", "date", "phone", "ssn", "card", "ip")
+KINDS = ("email", "date", "phone", "ssn", "card", "ip", "iban")
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
 DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}"
@@ -28,12 +30,19 @@ COUNTRY = r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9][0-9
 ABROAD = rf"\+(?:{COUNTRY})(?:(?![ .-](?:{DATE}|{SSN}|{CARD}|{IP}|[2-9][0-9]{{2}}[2-9][0-9]{{6}})(?![0-9A-Za-z]))[ .-]?(?:\([0-9]{{1,4}}\)|[0-9])){{5,12}}"
 #: Ten digits in a row whose area and exchange can be dialled.
 PLAIN = r"[2-9][0-9]{2}[2-9][0-9]{6}(?!\.[0-9])"
+#: International bank account numbers, in one piece or in fours; in fours, only the first may be without a digit.
+IBAN = r"[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}(?: ?(?=[A-Z]{0,3}[0-9])[A-Z0-9]{4}){1,6}(?: ?(?=[A-Z]{0,2}[0-9])[A-Z0-9]{1,3})?"
 TIMED = rf"(?:{DATE})(?=[Tt][0-9]{{2}})"
-PATTERN = rf"{EMAIL}|(?<![0-9A-Za-z])(?<![0-9]\.)(?:{TIMED}|(?:{DATE}|{PHONE}|{ABROAD}|{SSN}|{PLAIN}|{CARD}|{IP})(?![0-9A-Za-z]))"
+PATTERN = rf"{EMAIL}|(?<![0-9A-Za-z])(?<![0-9]\.)(?:{TIMED}|(?:{DATE}|{PHONE}|{ABROAD}|{SSN}|{PLAIN}|{CARD}|{IP}|{IBAN})(?![0-9A-Za-z]))"
 #: The last form that fits holds: a slash date is day-first where its first number is no month.
 DATE_FORMS = ((r"^[0-9]{4}-", "yyyy-MM-dd"), (r"^[0-9]{4}/", "yyyy/MM/dd"), (r"^[0-9]{2}/", "MM/dd/yyyy"), (r"^(?:1[3-9]|2[0-9]|3[01])/", "dd/MM/yyyy"), (r"^[0-9]{2}\.", "dd.MM.yyyy"))
 #: 400 Gregorian years always have 189 * 773 days.
 FIRST_DAY, LOW_DAYS, HIGH_DAYS = "1800-01-01", 189, 773
+CYCLE = LOW_DAYS * HIGH_DAYS
+#: Cycles before and after FIRST_DAY: the years 200 to 9799.
+CYCLES_BEFORE, CYCLES_AFTER = 4, 20
+#: Social-security numbers: areas 001-665 and 667-899, groups 01-99, serials 0001-9999.
+AREAS, GROUPS, SERIALS = 898, 99, 9999
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -77,18 +86,37 @@ def feistel(value: Column, alphabet: str, key: str, kind: str) -> Column:
     return let(value, turn)
 
 
-def feistel_day(day: Column, key: str) -> Column:
-    """A keyed permutation of the numbers below LOW_DAYS * HIGH_DAYS."""
+def feistel_pair(high: Column, low: Column, high_size: int, low_size: int, key: str, kind: str, finish: Callable[[Column], Column]) -> Column:
+    """``finish`` of a keyed permutation of the pairs (high, low) of numbers below their sizes."""
 
     def draw(i: Column, other: Column, size: int) -> Column:
-        return F.pmod(F.conv(F.substring(_code(key, "date", 0, i, other), 1, 8), 16, 10).cast("long"), F.lit(size))
+        return F.pmod(F.conv(F.substring(_code(key, kind, 0, i, other), 1, 8), 16, 10).cast("long"), F.lit(size))
 
     def step(s: Column, i: Column) -> Column:
-        high = F.pmod(s["high"] + draw(i, s["low"], HIGH_DAYS), F.lit(HIGH_DAYS)).cast("long")
-        return let(high, lambda h: F.struct(h.alias("high"), F.pmod(s["low"] + draw(i, h, LOW_DAYS), F.lit(LOW_DAYS)).cast("long").alias("low")))
+        moved = F.pmod(s["high"] + draw(i, s["low"], high_size), F.lit(high_size)).cast("long")
+        return let(moved, lambda h: F.struct(h.alias("high"), F.pmod(s["low"] + draw(i, h, low_size), F.lit(low_size)).cast("long").alias("low")))
+
+    start = F.struct(high.cast("long").alias("high"), low.cast("long").alias("low"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, finish)
+
+
+def feistel_day(day: Column, key: str) -> Column:
+    """A keyed permutation of the numbers below CYCLE."""
+    return feistel_pair(F.floor(day / LOW_DAYS), F.pmod(day, F.lit(LOW_DAYS)), HIGH_DAYS, LOW_DAYS, key, "date", lambda s: (s["high"] * LOW_DAYS + s["low"]).cast("int"))
+
+
+def feistel_ssn(digits: Column, key: str) -> Column:
+    """A keyed permutation of the nine digits of the social-security numbers that can be issued."""
+    area, group, serial = (F.substring(digits, at, n).cast("int") for at, n in ((1, 3), (4, 2), (6, 4)))
+    high = (area - F.when(area > 666, 2).otherwise(1)) * GROUPS + group - 1
+
+    def written(s: Column) -> Column:
+        place = F.floor(s["high"] / GROUPS)
+        area = place + F.when(place >= 665, 2).otherwise(1)
+        parts = ((area, 3), (F.pmod(s["high"], F.lit(GROUPS)) + 1, 2), (s["low"] + 1, 4))
+        return F.concat(*[F.lpad(x.cast("string"), n, "0") for x, n in parts])
 
-    start = F.struct(F.floor(day / LOW_DAYS).cast("long").alias("high"), F.pmod(day, F.lit(LOW_DAYS)).cast("long").alias("low"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, lambda s: (s["high"] * LOW_DAYS + s["low"]).cast("int"))
+    return feistel_pair(high, serial - 1, AREAS * GROUPS, SERIALS, key, "ssn", written)
 
 
 def luhn_sum(digits: Column) -> Column:
@@ -105,6 +133,19 @@ def luhn_sum(digits: Column) -> Column:
     return let(digits, of)
 
 
+def mod_97(text: Column) -> Column:
+    """The number that digits and letters (A is 10, Z is 35) spell, modulo 97."""
+
+    def of(text: Column) -> Column:
+        def add(total: Column, j: Column) -> Column:
+            c = F.ascii(F.substr(text, j, F.lit(1)))
+            return F.pmod(F.when(c >= 65, total * 100 + c - 55).otherwise(total * 10 + c - 48), F.lit(97))
+
+        return F.aggregate(F.sequence(F.lit(1), F.length(text)), F.lit(0), add)
+
+    return let(text, of)
+
+
 def _only(text: Column, keep: str) -> Column:
     return F.regexp_replace(text, f"[^{keep}]", "")
 
@@ -134,15 +175,16 @@ def _day(m: Column) -> Column:
 
 
 def kind_of(m: Column) -> Column:
-    """The kind of a match that is valid, else null: dates that exist, Luhn sums, octets, number ranges."""
-    digits = _only(m, "0-9")
+    """The kind of a match that is valid, else null: dates that exist, Luhn and modulo-97 sums, octets, number ranges."""
+    digits, compact = _only(m, "0-9"), _only(m, "A-Z0-9")
     octets = F.transform(F.split(m, r"\."), lambda o: o.cast("int"))
     ssn_ok = ~m.rlike("^(?:000|666|9)|-00-|-0000$")
     return (
         F.when(m.contains("@"), F.when(m.rlike("^[^@]*[A-Za-z0-9]"), "email"))
-        .when(m.rlike(f"^(?:{DATE})$"), F.when(_day(m).between(0, LOW_DAYS * HIGH_DAYS - 1), "date"))
+        .when(m.rlike(f"^(?:{DATE})$"), F.when(_day(m).between(-CYCLES_BEFORE * CYCLE, CYCLES_AFTER * CYCLE - 1), "date"))
         .when(m.rlike(f"^(?:{PHONE}|{PLAIN})$"), "phone").when(m.startswith("+"), F.when(F.length(digits) >= 8, "phone")).when(m.rlike(f"^(?:{SSN})$"), F.when(ssn_ok, "ssn"))
         .when(m.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$"), F.when(F.forall(octets, lambda o: o <= 255), "ip"))
+        .when(m.rlike("^[A-Z]"), F.when((F.length(compact) >= 15) & (mod_97(F.concat(F.substr(compact, F.lit(5)), F.substring(compact, 1, 4))) == 1), "iban"))
         .when(luhn_sum(digits) % 10 == 0, "card")
     )
 
@@ -159,7 +201,7 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
             out = F.when(m.rlike(form), F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), day), pattern)).otherwise(out)
         return out
 
-    date = let(feistel_day(_day(m), key), dated)
+    date = let(_day(m), lambda day: let(feistel_day(F.pmod(day, F.lit(CYCLE)), key) + F.floor(day / CYCLE).cast("int") * CYCLE, dated))
     country = F.when(m.startswith("+"), F.regexp_extract(m, rf"^\+({COUNTRY})", 1)).otherwise(F.lit(""))
     phone = _refill(m, F.concat(country, feistel(F.substr(digits, F.length(country) + 1), DIGITS, key, "phone")), "0-9")
     payload = feistel(F.substr(digits, F.lit(1), F.length(digits) - 1), DIGITS, key, "card")
@@ -167,20 +209,29 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
     packed = F.array_join(F.transform(F.split(m, r"\."), lambda o: F.lpad(F.lower(F.hex(o.cast("int"))), 2, "0")), "")
     pairs = F.regexp_extract_all(feistel(packed, HEX, key, "ip"), F.lit("[0-9a-f]{2}"), F.lit(0))
     ip = F.array_join(F.transform(pairs, lambda h: F.conv(h, 16, 10)), ".")
+    compact = _only(m, "A-Z0-9")
+    bban = F.substr(compact, F.lit(5))
+    bban = _refill(_refill(bban, feistel(_only(bban, "0-9"), DIGITS, key, "iban"), "0-9"), feistel(_only(bban, "A-Z"), LETTERS, key, "iban"), "A-Z")
+    country_code = F.substring(compact, 1, 2)
+    iban = let(bban, lambda b: F.concat(country_code, F.lpad((98 - mod_97(F.concat(b, country_code, F.lit("00")))).cast("string"), 2, "0"), b))
     return (
         F.when(kind == "email", email).when(kind == "date", date).when(kind == "phone", phone)
-        .when(kind == "ssn", _refill(m, feistel(digits, DIGITS, key, "ssn"), "0-9")).when(kind == "card", _refill(m, card, "0-9")).when(kind == "ip", ip).otherwise(m)
+        .when(kind == "ssn", _refill(m, feistel_ssn(digits, key), "0-9")).when(kind == "card", _refill(m, card, "0-9")).when(kind == "ip", ip)
+        .when(kind == "iban", _refill(m, iban, "A-Z0-9")).otherwise(m)
     )
 
 
-def pseudonymise(docs: DataFrame, *, text_col: str = "text", key: str = "millrace") -> DataFrame:
-    """docs with the text pseudonymised, plus n_email, n_date, n_phone, n_ssn, n_card and n_ip (replaced if present).
+def pseudonymise(docs: DataFrame, *, key: str, text_col: str = "text") -> DataFrame:
+    """docs with the text pseudonymised, plus n_email, n_date, n_phone, n_ssn, n_card, n_ip and n_iban (replaced if present).
 
-    Equal values (same digits, same date, same address in any case) get equal pseudonyms under one key. What looks
+    key: the secret that the pseudonyms hang on; whoever has it can turn them back, so it has no default and must not
+    be empty. Equal values (same digits, same date, same address in any case) get equal pseudonyms under one key. What looks
     like a value but is not valid stays as it is. Null text stays null and counts 0; empty texts stay empty; each
     row is treated by itself over its whole text, so repeated rows agree; an empty table gives no rows. One map
     over the rows without a shuffle; texts without a digit pair or an at sign pass unread by the pattern.
     """
+    if not key:
+        raise ValueError("a key is needed")
     text = F.col(f"`{text_col}`")
     names = [f"n_{k}" for k in KINDS]
     kept = [c for c in docs.columns if c not in names]

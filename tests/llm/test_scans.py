@@ -107,7 +107,7 @@ def test_runs_are_levelled_and_reread(spark):
 def test_pseudonyms(spark):
     text = "Call +1 (632) 555-4827; ann.b@mail.example, ANN.B@mail.example 4337166598464399 4337-1665-9846-4399 17.252.227.210. 2024-02-29 02/29/2024 123-45-6789 not 4337166598464398 2023-02-29 999.1.1.1"
     rows = spark.createDataFrame([(1, text), (2, text + " é"), (3, None), (4, ""), (5, "plain")], "doc_id long, text string")
-    out = {r.doc_id: r for r in pii.pseudonymise(rows).collect()}
+    out = {r.doc_id: r for r in pii.pseudonymise(rows, key="k").collect()}
     got = out[1].text
     assert out[2].text == got + " é" and out[3].text is None and out[4].text == "" and out[5].text == "plain"
     for raw in ("632", "4827", "ann.b", "ANN.B", "4337166598464399", "17.252.227.210", "2024-02-29", "123-45-6789"):
@@ -125,7 +125,7 @@ def test_pseudonyms_of_further_forms(spark):
     long_name = "a" * 70 + ".b"
     text = f"2024-02-29T10:00:00Z 2024-02-29 25/12/2024 2024-12-25 +44 20 7946 0958 +442079460958 +44 20 7946 0958 2024-12-25 6325554827 632-555-4827 {long_name}@mail.example"
     kept = "1709200800 31/31/2024 +44 20 6325554827.5 2024-02-30T10:00:00Z"
-    out = pii.pseudonymise(spark.createDataFrame([(1, text), (2, kept)], "doc_id long, text string")).orderBy("doc_id").collect()
+    out = pii.pseudonymise(spark.createDataFrame([(1, text), (2, kept)], "doc_id long, text string"), key="k").orderBy("doc_id").collect()
     m = re.fullmatch(r"(\d{4}-\d\d-\d\d)T10:00:00Z (\S+) (\d\d)/(\d\d)/(\d{4}) (\S+) \+44 (\d\d) (\d{4}) (\d{4}) \+44(\d{10}) (\+44 \d\d \d{4} \d{4}) (\S+) (\d{10}) (\d{3}-\d{3}-\d{4}) (\w{70}\.\w)@mail.example", out[0].text)
     assert m and m[1] == m[2] != "2024-02-29" and f"{m[5]}-{m[4]}-{m[3]}" == m[6] == m[12] != "2024-12-25"
     assert m[7] + m[8] + m[9] == m[10] != "2079460958" and m[11].replace(" ", "") == "+44" + m[10]
