@@ -109,8 +109,8 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources and languages to their token shares to the power 0.7, topics as they are; every document with its draw."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    out = mixing.mix(docs)
-    return out.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("prob", 6).alias("prob"), F.round("draw", 6).alias("draw"), "drawn")
+    out = mixing.mix(docs, keep_text=False)
+    return out.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("prob", 6).alias("prob"), F.round("draw", 6).alias("draw"), "drawn", F.round("margin_error", 6).alias("margin_error"))
 
 
 #: The vocabulary file; the environment variable names another one.
@@ -178,4 +178,6 @@ def op4_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op8_pii")
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """With the key from spark.millrace.pii.key or MILLRACE_PII_KEY; the synthetic tables need no secret one."""
+    key = spark.conf.get("spark.millrace.pii.key", None) or os.environ.get("MILLRACE_PII_KEY") or "key of the synthetic tables"
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key=key)
