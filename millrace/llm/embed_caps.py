@@ -2,38 +2,48 @@
 
 A filter is a direction put together from one random unit vector per block of coordinates (after a fixed random
 rotation), so a few short lists of vectors span millions of filters; several such codes, each with its own rotation,
-keep the filters from failing a vector together. A vector is decoded to the list of all filters
-whose cap it lies in: sums of two half codes, sorted, give the list without trying every filter. Vectors in one cap
-meet in one bucket, where cosines are taken in double precision. The caps are so many that a pair at the threshold
-is expected to share ``Params.shared`` of them; the height of the caps follows the number of vectors.
+keep the filters from failing a vector together. A vector is decoded to the list of all filters whose cap it lies in.
+Vectors in one cap meet in one bucket. The caps are so many that a pair at the threshold is expected to share
+``Params.shared`` of them; their height weighs the rows that are sent against those that meet in a bucket.
+
+Two steps: first every vector goes to each of its caps with a sketch of 128 signs alone, and is marked there if another
+sketch is near enough. Only the marked rows get their vector, and cosines are taken in double precision.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import NO_ID, cut, stash
+from millrace.llm.common import NO_ID, bounded_batches, cut, stash
 from millrace.llm.components import components
 
 #: Rows of a bucket that one comparison block holds; larger buckets are compared block by block.
 BLOCK = 1024
+#: Vectors whose caps a task decodes at once, and keeps.
+DECODED = 4096
+SIGNS = 128
 
 
 @dataclass(frozen=True)
 class Params:
     threshold: float = 0.9
-    #: Caps that a pair at the threshold is expected to share; measured on random pairs in 64 dimensions, 0.03 % of
-    #: those exactly at the threshold share none (caps of one code are not independent), and closer ones fewer.
+    #: Caps that a pair at the threshold is expected to share; caps of one code are not independent, see ``missed``.
     shared: float = 24.0
-    #: Vectors expected in a cap, which sets its height.
-    in_cap: float = 16.0
-    blocks: int = 2
+    #: A row that is sent to a cap costs as much as meeting so many others there; this sets the height.
+    in_cap: float = 64.0
+    #: The sketches of a pair at the threshold differ in more signs than are let through with a chance of 3e-7.
+    sigmas: float = 5.0
+    #: The bound of the sample from which the loads of caps are taken, as vectors are not spread evenly.
+    sample: int = 2000
+    #: Pairs at the threshold on which a plan is tried, and the share of them that may have no cap in common.
+    tried: int = 400
+    missed: float = 0.0025
     codes: int = 8
     seed: int = 11
 
@@ -42,36 +52,69 @@ class Params:
 class Code:
     height: float
     words: int
+    blocks: int
     params: Params
 
 
-def _tail(d: int, height: float) -> float:
-    """The share of a sphere's surface in d dimensions above a height."""
-    t = np.linspace(-1, 1, 20_001)
-    w = np.maximum(1 - t * t, 0) ** ((max(d, 2) - 3) / 2) if d > 2 else 1 / np.sqrt(np.maximum(1 - t * t, 1e-9))
-    return float(w[t >= height].sum() / w.sum())
+def _tails(d: int, heights: np.ndarray) -> np.ndarray:
+    """The share of a sphere's surface in d dimensions above each height."""
+    angle = np.linspace(0, np.pi, 20_001)
+    density = np.sin(angle) ** (max(d, 2) - 2)
+    below = np.concatenate([[0], np.cumsum((density[1:] + density[:-1]) / 2)])
+    return np.interp(np.arccos(np.clip(heights, -1, 1)), angle, below / below[-1])
 
 
 def _again(d: int, height: float, cosine: float) -> float:
     """The chance that a vector lies in a cap, given that one at ``cosine`` to it does."""
     t = np.linspace(height, 1, 400)
-    w = np.maximum(1 - t * t, 1e-12) ** ((max(d, 3) - 3) / 2)
+    fall = np.log(np.maximum(1 - t * t, 1e-12))
+    w = np.exp((max(d, 3) - 3) / 2 * (fall - fall[0]))
     rest = np.sqrt(max(1 - cosine**2, 1e-9)) * np.sqrt(np.maximum(1 - t * t, 1e-12))
-    inner = np.array([_tail(d - 1, (height - cosine * x) / r) if abs(height - cosine * x) < r else float(height <= cosine * x) for x, r in zip(t, rest, strict=True)])
+    inner = _tails(d - 1, np.clip((height - cosine * t) / rest, -1, 1))
     return float((w * inner).sum() / w.sum())
 
 
-def plan(n: int, d: int, p: Params) -> Code:
-    """Cap height and code words per block for n vectors of d dimensions."""
-    heights = np.linspace(0.1, 0.6, 26)
-    height = next((h for h in heights[::-1] if n * _tail(d, h) >= p.in_cap), heights[0])
-    filters = p.shared / max(_tail(d, height) * _again(d, height, p.threshold), 1e-12)
-    return Code(float(height), max(2, int(np.ceil((filters / p.codes) ** (1 / p.blocks)))), p)
+def loads(x: np.ndarray, n: int, heights: np.ndarray, seed: int) -> np.ndarray:
+    """For each height the vectors that one of n expects in its caps, from a sample of unit vectors: the mean over random
+    directions, weighted by how many vectors they hold."""
+    size = min(512, 4 * len(x))
+    directions = np.random.default_rng([seed, x.shape[1]]).normal(size=(size, x.shape[1]))
+    directions /= np.linalg.norm(directions, axis=1, keepdims=True)
+    inside = np.sort(x @ directions.T, axis=0)
+    share = np.stack([1 - np.array([np.searchsorted(c, h) for c in inside.T]) / len(x) for h in heights])
+    return n * (share**2).sum(axis=1) / np.maximum(share.sum(axis=1), 1e-12)
+
+
+def plan(n: int, d: int, p: Params, sample: np.ndarray | None = None) -> Code:
+    """Cap height and code words per block for n vectors of d dimensions: the height of the least cost for a vector."""
+    # two vectors at the threshold share no cap above the cosine of half their angle
+    heights = np.linspace(0.1, 0.98 * np.sqrt((1 + p.threshold) / 2), 44)
+    tails = _tails(d, heights)
+    again = np.array([_again(d, h, p.threshold) for h in heights])
+    load = n * tails if sample is None or not len(sample) else np.maximum(loads(sample, n, heights, p.seed), n * tails)
+    k = int(np.argmin((1 + load / p.in_cap) / np.maximum(again, 1e-12)))
+    per_code = p.shared / max(tails[k] * again[k], 1e-12) / p.codes
+    blocks = 2 if per_code <= 1 << 24 or d < 16 else 4
+    code = Code(float(heights[k]), max(2, int(np.ceil(per_code ** (1 / blocks)))), blocks, p)
+    # sums of unit vectors are no even spread of directions, least so in few dimensions: words are added until it is good enough
+    rng = np.random.default_rng([p.seed, d])
+    one, two = rng.normal(size=(2, p.tried, d))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    if d == 1:
+        return code
+    two -= (one * two).sum(axis=1, keepdims=True) * one
+    two = p.threshold * one + np.sqrt(1 - p.threshold**2) * two / np.linalg.norm(two, axis=1, keepdims=True)
+    while True:
+        caps = Caps(n, {d: code}, p)
+        common = np.array([np.intersect1d(a, b, assume_unique=True).size for a, b in zip(caps.of(one), caps.of(two), strict=True)])
+        if (common == 0).sum() <= p.missed * p.tried and common.mean() >= 0.8 * p.shared:
+            return code
+        code = replace(code, words=code.words + max(1, code.words // 8))
 
 
 def codebook(d: int, code: Code, number: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """One code: a rotation of the (padded) coordinates, and per block its unit vectors."""
-    m = code.params.blocks
+    m = code.blocks
     size = -(-d // m) * m
     rng = np.random.default_rng([code.params.seed, number, d])
     rotation = np.linalg.qr(rng.normal(size=(size, size)))[0]
@@ -79,64 +122,152 @@ def codebook(d: int, code: Code, number: int) -> tuple[np.ndarray, list[np.ndarr
     return rotation, list(words / np.linalg.norm(words, axis=2, keepdims=True))
 
 
-def decode(unit: np.ndarray, code: Code, rotation: np.ndarray, words: list[np.ndarray]) -> Iterator[np.ndarray]:
-    """For each unit vector the numbers of all filters at whose direction its product reaches the height."""
+def _in_order(x: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the entries of each row that reach the row's least value, by row, larger entries first."""
+    row, column = np.nonzero(x >= least[:, None])
+    order = np.lexsort((-x[row, column], row))
+    return row[order], column[order]
+
+
+def decode(unit: np.ndarray, code: Code, rotation: np.ndarray, words: list[np.ndarray]) -> list[np.ndarray]:
+    """For each unit vector the numbers of all filters at whose direction its product reaches the height.
+
+    The sums of a left and a right half code are not tried one by one: for each left one that can reach the height, the
+    right ones that reach it are a run of the right ones in falling order.
+    """
     n, d = unit.shape
     m, b = len(words), code.words
     padded = np.zeros((n, len(rotation)))
     padded[:, :d] = unit
     turned = (padded @ rotation).reshape(n, m, -1)
-    scores = np.stack([turned[:, i] @ words[i].T for i in range(m)], axis=1) / np.sqrt(m)
-    half = m // 2
+    scores = [turned[:, i] @ words[i].T / np.sqrt(m) for i in range(m)]
 
-    def sums(part: np.ndarray) -> np.ndarray:
-        out = part[0]
-        for x in part[1:]:
-            out = (out[:, None] + x[None, :]).reshape(-1)
+    def sums(parts: list[np.ndarray]) -> np.ndarray:
+        out = parts[0]
+        for x in parts[1:]:
+            out = (out[:, :, None] + x[:, None, :]).reshape(n, -1)
         return out
 
-    for row in scores:
-        left, right = sums(row[:half]), sums(row[half:])
-        order = np.argsort(-right)
-        many = np.searchsorted(-right[order], left - code.height, side="right")
-        at = np.flatnonzero(many)
-        if not len(at):
-            yield np.zeros(0, np.int64)
-            continue
-        first = np.repeat(at, many[at])
-        second = order[np.arange(len(first)) - np.repeat(np.cumsum(many[at]) - many[at], many[at])]
-        yield np.sort(first.astype(np.int64) * b ** (m - half) + second)
+    left, right = sums(scores[: m // 2]), sums(scores[m // 2 :])
+    low = code.height - 1e-9  # the run is taken a little too long, then every sum is tried
+    row, i = _in_order(left, low - right.max(axis=1))
+    to, j = _in_order(right, low - left.max(axis=1))
+    # the right values of all rows in one rising line: a row's part lies within 4 of 8 times its number
+    line = to * 8.0 - right[to, j]
+    start = np.searchsorted(to, row)
+    many = np.searchsorted(line, row * 8.0 - (low - left[row, i]), side="right") - start
+    row, first = np.repeat(row, many), np.repeat(i, many)
+    second = j[np.repeat(start, many) + np.arange(len(first)) - np.repeat(np.cumsum(many) - many, many)]
+    reach = left[row, first] + right[row, second] >= code.height
+    found = first[reach].astype(np.int64) * b ** (m - m // 2) + second[reach]
+    return np.split(found, np.cumsum(np.bincount(row[reach], minlength=n))[:-1])
 
 
 def _matrix(column: pa.Array, rows: np.ndarray | None = None) -> np.ndarray:
-    """Vectors of one length as a matrix of doubles."""
+    """Vectors of one length, at length 1, as a matrix of doubles."""
     column = column if rows is None else column.take(pa.array(rows))
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    x /= np.abs(x).max(axis=1, keepdims=True)  # so that the squares of very small and large numbers do not vanish or overflow
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+class Caps:
+    """The codes of each vector length, made when first needed, and the caps of vectors."""
+
+    def __init__(self, n: int, plans: dict[int, Code], p: Params):
+        self.n, self.plans, self.p, self.books = n, plans, p, {}
+
+    def of(self, unit: np.ndarray) -> list[np.ndarray]:
+        """The sorted caps of each unit vector."""
+        d = unit.shape[1]
+        if d not in self.books:
+            code = self.plans.get(d) or plan(self.n, d, self.p)
+            self.books[d] = code, [codebook(d, code, i) for i in range(self.p.codes)]
+        code, codes = self.books[d]
+        out = []
+        step = max(1, min(512, (1 << 22) // code.words ** (code.blocks // 2)))
+        for k in range(0, len(unit), step):
+            found = [decode(unit[k : k + step], code, *book) for book in codes]
+            out += [np.sort(np.concatenate([c * self.p.codes + i for i, c in enumerate(each)])) for each in zip(*found, strict=True)]
+        return out
+
+    def signs(self, unit: np.ndarray) -> np.ndarray:
+        """(vectors, 2) longs: the sides of SIGNS random planes that each vector lies on."""
+        planes = np.random.default_rng([self.p.seed, 1 << 20, unit.shape[1]]).normal(size=(unit.shape[1], SIGNS))
+        return np.ascontiguousarray(np.packbits(unit @ planes > 0, axis=1)).view(np.int64)
+
 
+def most_apart(p: Params) -> int:
+    """Signs in which the sketches of a pair at the threshold may differ."""
+    share = np.arccos(p.threshold) / np.pi
+    return int(np.ceil(SIGNS * share + p.sigmas * np.sqrt(SIGNS * share * (1 - share))))
 
-def cap_hits(vectors: DataFrame, n: int, p: Params) -> DataFrame:
-    """(rep, bucket, caps): each vector with each of its caps; caps lists all of them. Vectors of unequal length never meet."""
+
+def cap_hits(vectors: DataFrame, caps: Caps) -> DataFrame:
+    """(rep, d, s0, s1, caps): each vector with its length, its sketch and the list of its caps."""
 
     def hit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        books: dict[int, tuple] = {}
         for batch in batches:
             sizes = np.diff(batch.column(1).offsets.to_numpy())
             for d in np.unique(sizes):
-                if d not in books:
-                    code = plan(n, int(d), p)
-                    books[d] = (code, [codebook(int(d), code, i) for i in range(p.codes)])
-                rows = np.flatnonzero(sizes == d)
-                x = _matrix(batch.column(1), rows)
-                code, codes = books[d]
-                unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-                found = [decode(unit, code, *book) for book in codes]
-                caps = [np.sort(np.concatenate([c * p.codes + i for i, c in enumerate(each)])) for each in zip(*found, strict=True)]
-                sizes_of = np.array([len(c) for c in caps])
-                flat = np.concatenate([*caps, np.zeros(0, np.int64)]) * 4099 + int(d)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes_of)]).astype(np.int32)), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), lists], names=["rep", "caps"])
-
-    return vectors.select("rep", "embedding").mapInArrow(hit, "rep long, caps array<long>")
+                for rows in np.array_split(np.flatnonzero(sizes == d), max(1, int((sizes == d).sum()) // 2048)):
+                    unit = _matrix(batch.column(1), rows)
+                    found, signs = caps.of(unit), caps.signs(unit)
+                    offsets = np.concatenate([[0], np.cumsum([len(c) for c in found])]).astype(np.int32)
+                    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*found, np.zeros(0, np.int64)])))
+                    columns = [batch.column(0).take(pa.array(rows)), pa.array(np.full(len(rows), d, np.int32)), pa.array(signs[:, 0]), pa.array(signs[:, 1]), lists]
+                    yield pa.RecordBatch.from_arrays(columns, names=["rep", "d", "s0", "s1", "caps"])
+
+    return vectors.select("rep", "embedding").mapInArrow(hit, "rep long, d int, s0 long, s1 long, caps array<long>")
+
+
+KEY = ["d", "cap", "b1", "b2"]
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables that end where a group (KEY) of the sorted rows ends; at most one group more than a batch is held."""
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        table = pa.Table.from_batches([*waiting, batch])
+        edge = np.flatnonzero(_edges(table)[1:])
+        if len(edge):
+            yield table.slice(0, int(edge[-1]) + 1).combine_chunks()
+            table = table.slice(int(edge[-1]) + 1).combine_chunks()
+        waiting = table.to_batches()
+    if waiting:
+        yield pa.Table.from_batches(waiting).combine_chunks()
+
+
+def _edges(table: pa.Table) -> np.ndarray:
+    """Where a row begins a group."""
+    keys = np.stack([table.column(c).to_numpy() for c in KEY])
+    return np.append(np.ones(min(1, table.num_rows), bool), (keys[:, 1:] != keys[:, :-1]).any(axis=0))
+
+
+def marked(rows: DataFrame, p: Params) -> DataFrame:
+    """Of rows(d, cap, b1, b2, side, rep, s0, s1) those whose sketch is near that of another row of their group."""
+    most = most_apart(p)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches):
+            group = np.cumsum(_edges(table))
+            side, s0, s1 = table.column("side").to_numpy(), *(table.column(c).to_numpy().view(np.uint64) for c in ("s0", "s1"))
+            across = table.column("b1").to_numpy() != table.column("b2").to_numpy()
+            hit = np.zeros(table.num_rows, bool)
+            here = np.arange(table.num_rows)
+            for step in range(1, table.num_rows):  # each row with the one ``step`` later, while any two are in one group
+                here = here[here + step < len(hit)]
+                here = here[group[here] == group[here + step]]
+                if not len(here):
+                    break
+                there = here + step
+                near = np.bitwise_count(s0[here] ^ s0[there]) + np.bitwise_count(s1[here] ^ s1[there]) <= most
+                near &= ~across[here] | (side[here] != side[there])
+                hit[here[near]] = hit[there[near]] = True
+            yield from table.filter(pa.array(hit)).select([*KEY, "side", "rep"]).to_batches()
+
+    keyed = rows.select(*KEY, "side", "rep", "s0", "s1").repartition(*KEY).sortWithinPartitions(*KEY)
+    return keyed.mapInArrow(mark, "d int, cap long, b1 int, b2 int, side int, rep long")
 
 
 def _new_links(rep: np.ndarray, x: np.ndarray, copies: np.ndarray, side: np.ndarray, caps: list[np.ndarray], bucket: int, across: bool, p: Params):
@@ -172,59 +303,64 @@ def _new_links(rep: np.ndarray, x: np.ndarray, copies: np.ndarray, side: np.ndar
     return rep[rows], linked @ copies[rows], label
 
 
-def bucket_links(rows: DataFrame, p: Params) -> DataFrame:
-    """(rep, links, root) from rows(bucket, b1, b2, side, rep, copies, caps, embedding), compared per (bucket, b1, b2).
+def bucket_links(rows: DataFrame, caps: Caps, p: Params) -> DataFrame:
+    """(rep, links, root) from rows(d, cap, b1, b2, side, rep, copies, embedding), compared per group (KEY).
 
-    Rows come sorted; one group of at most two blocks is held at a time.
+    Rows come sorted; one group of at most two blocks is held at a time. A vector's caps are decoded again from it, as
+    they take more room than the vector.
     """
-    names = ["bucket", "b1", "b2", "side", "rep", "copies", "caps", "embedding"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-
-        def flush() -> pa.RecordBatch:
-            columns = [pa.array(np.concatenate([np.zeros(0, np.int64), *(o[i] for o in out)])) for i in range(3)]
-            out.clear()
-            return pa.RecordBatch.from_arrays(columns, ["rep", "links", "root"])
-
-        def group(table: pa.Table) -> None:
-            if table.num_rows < 2:
-                return
-            x = _matrix(table.column("embedding").combine_chunks())
-            x /= np.linalg.norm(x, axis=1, keepdims=True)
-            rep, copies, side = (table.column(c).to_numpy() for c in ("rep", "copies", "side"))
-            lists = table.column("caps").combine_chunks()
-            flat, offsets = lists.flatten().to_numpy(), lists.offsets.to_numpy()
-            offsets = offsets - offsets[0]
-            caps = [flat[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
-            key = table.slice(0, 1).to_pylist()[0]
-            if (found := _new_links(rep, x, copies, side, caps, key["bucket"], key["b1"] != key["b2"], p)) is not None:
-                out.append(found)
-
-        waiting: list[pa.RecordBatch] = []
-        for batch in batches:
-            table = pa.Table.from_batches([*waiting, batch])
-            keys = np.stack([table.column(c).to_numpy() for c in names[:3]])
-            edge = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-            for a, b in zip([0, *edge], edge, strict=False):
-                group(table.slice(a, b - a))
-            waiting = table.slice(int(edge[-1]) if len(edge) else 0).combine_chunks().to_batches()
+        known: dict[int, np.ndarray] = {}
+        for table in _whole_groups(batches):
+            rep, copies, side, cap = (table.column(c).to_numpy() for c in ("rep", "copies", "side", "cap"))
+            vectors = table.column("embedding").combine_chunks()
+            vectors = vectors.chunk(0) if isinstance(vectors, pa.ChunkedArray) else vectors
+            across = table.column("b1").to_numpy() != table.column("b2").to_numpy()
+            edge = [*np.flatnonzero(_edges(table)), table.num_rows]
+            out: list[tuple] = []
+            for a, b in zip(edge, edge[1:], strict=False):
+                unit = _matrix(vectors.slice(a, b - a))
+                new = [i for i in range(b - a) if int(rep[a + i]) not in known]
+                if new:
+                    if len(known) > DECODED:
+                        known.clear()
+                        new = list(range(b - a))
+                    known.update(zip(rep[a:b][new].tolist(), caps.of(unit[new]), strict=True))
+                lists = [known[r] for r in rep[a:b].tolist()]
+                if (found := _new_links(rep[a:b], unit, copies[a:b], side[a:b], lists, cap[a], across[a], p)) is not None:
+                    out.append(found)
             if out:
-                yield flush()
-        if waiting:
-            group(pa.Table.from_batches(waiting))
-        if out:
-            yield flush()
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[i] for o in out])) for i in range(3)], ["rep", "links", "root"])
 
-    keyed = rows.select(*names).repartition("bucket", "b1", "b2").sortWithinPartitions("bucket", "b1", "b2")
+    keyed = rows.select(*KEY, "side", "rep", "copies", "embedding").repartition(*KEY).sortWithinPartitions(*KEY)
     return keyed.mapInArrow(compare, "rep long, links long, root long")
 
 
+def bucket_rows(hits: DataFrame) -> DataFrame:
+    """(d, cap, b1, b2, side, rep, s0, s1): each vector in each of its caps, large caps in blocks, each two of them once."""
+    each = hits.select("d", F.explode("caps").alias("cap"), "rep", "s0", "s1")
+    large = each.groupBy("d", "cap").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > BLOCK)
+    large = large.select("d", "cap", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int").alias("parts"))
+    each = each.join(large, ["d", "cap"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    each = each.withColumn("side", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    each = each.select("d", "cap", "rep", "s0", "s1", "side", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    return each.select("d", "cap", F.least("side", "other").alias("b1"), F.greatest("side", "other").alias("b2"), "side", "rep", "s0", "s1")
+
+
+def sampled_plans(reps: DataFrame, n: int, p: Params) -> dict[int, Code]:
+    """The plan for each vector length that a sample of at most ``Params.sample`` vectors holds."""
+    found = reps.select("rep", "embedding").orderBy(F.xxhash64("rep"), "rep").limit(p.sample).toArrow().column("embedding").combine_chunks()
+    found = found.chunk(0) if isinstance(found, pa.ChunkedArray) else found
+    sizes = np.diff(found.offsets.to_numpy())
+    return {int(d): plan(n, int(d), p, _matrix(found, np.flatnonzero(sizes == d))) for d in np.unique(sizes)}
+
+
 def near_components(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", params: Params = Params()) -> DataFrame:
     """One row per input row: vec_id, n_links, component_id, kept.
 
     Links join vectors whose cosine (double precision) is at least the threshold; pairs at the threshold itself
-    are found with a chance of about 0.9997 (see Params.shared), closer ones with a greater one, and no link below
+    are found with a chance of about 0.9975 at least (see Params.missed), closer ones with a greater one, and no link below
     it is made.
     Null vectors, zero vectors and vectors that hold null or non-finite numbers link with nothing, nor do vectors
     of different lengths. Equal vectors are joined first and compared once; each counts the others as links. Ids
@@ -232,24 +368,21 @@ def near_components(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: s
     table gives no rows; other columns are ignored.
 
     A link is counted in the smallest cap that its ends share, so n_links needs no list of pairs; buckets hand on
-    a row per vector and the roots of their links. Buckets above BLOCK rows are compared in blocks.
+    a row per vector and the roots of their links. Buckets above BLOCK rows are compared in blocks. A sample of at most
+    ``Params.sample`` vectors sets the height of the caps; which links are found does not hang on how it turns out.
     """
     p = params
+    bounded_batches(vectors.sparkSession)
     rows = vectors.select(F.coalesce(F.col(id_col), F.lit(NO_ID)).cast("long").alias("vec_id"), F.col(vector_col).alias("embedding"))
     ok = F.col("embedding").isNotNull() & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists("embedding", lambda x: x != 0)
     good = rows.filter(F.coalesce(ok, F.lit(False)))
     reps = stash(good.groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "vectors")
     n = reps.count()
-    hits = stash(cap_hits(reps, n, p), "caps")
-    each = hits.select("rep", F.explode("caps").alias("bucket"))
-    large = each.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > BLOCK)
-    large = large.select("bucket", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int").alias("parts"))
-    each = each.join(large, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    each = each.withColumn("side", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
-    each = each.select("bucket", "rep", "side", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-    each = each.select("bucket", "rep", "side", F.least("side", "other").alias("b1"), F.greatest("side", "other").alias("b2"))
-    full = each.join(hits, "rep").join(reps, "rep")
-    found = cut(bucket_links(full, p))
+    caps = Caps(n, sampled_plans(reps, n, p), p)
+    hits = stash(cap_hits(reps, caps), "caps")
+    full = bucket_rows(hits)
+    near = stash(marked(full, p), "marked")
+    found = cut(bucket_links(near.join(reps, "rep"), caps, p))
     merged = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     nodes = reps.join(counts, "rep", "left").join(merged.withColumnRenamed("id", "rep"), "rep", "left")
