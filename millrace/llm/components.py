@@ -19,6 +19,7 @@ def components(links: DataFrame) -> DataFrame:
     smallest label it sees to the node its own label names; the rounds grow with the logarithm of the longest path.
     Links with a null end or equal ends join nothing; repeated links and empty tables are fine. A node with many
     links is no bottleneck: minima are taken per task before they are shuffled, and neighbour lists never built.
+    An error after MAX_ROUNDS rounds, which no graph that fits a cluster needs.
     """
     both = links.filter("a IS NOT NULL AND b IS NOT NULL AND a <> b").select("a", "b")
     edges = cut(both.union(both.select("b", "a")).distinct())

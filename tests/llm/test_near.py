@@ -177,3 +177,48 @@ def test_pipeline_runs_and_is_registered(spark, sf_dir):
     assert line_runs and "pipeline" in entry.queries()
     out = entry.queries()["pipeline"](spark, sf_dir)
     assert out.count() > 0 and {"doc_id", "ids", "n_pieces"} <= set(out.columns)
+
+
+def test_recall_of_caps_at_the_threshold():
+    """Random pairs at a cosine of exactly 0.9 share a cap, for few and many dimensions and vectors."""
+    for d, n in ((3, 2_000), (8, 50_000), (64, 50_000), (768, 2_000)):
+        p = embed_caps.Params()
+        caps = embed_caps.Caps(n, {d: embed_caps.plan(n, d, p)}, p)
+        rng = np.random.default_rng(5)
+        one, two = rng.normal(size=(2, 400, d))
+        one /= np.linalg.norm(one, axis=1, keepdims=True)
+        two -= (one * two).sum(axis=1, keepdims=True) * one
+        two = 0.9 * one + np.sqrt(1 - 0.81) * two / np.linalg.norm(two, axis=1, keepdims=True)
+        met = [len(np.intersect1d(a, b)) > 0 for a, b in zip(caps.of(one), caps.of(two), strict=True)]
+        apart = np.bitwise_count((caps.signs(one) ^ caps.signs(two)).view(np.uint64)).sum(axis=1)
+        assert np.mean(met) >= 0.99 and apart.max() <= embed_caps.most_apart(p)
+
+
+def test_caps_of_a_vector_do_not_depend_on_its_batch():
+    p = embed_caps.Params()
+    caps = embed_caps.Caps(5_000, {}, p)
+    x = np.random.default_rng(3).normal(size=(300, 20))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    code, books = embed_caps.plan(5_000, 20, p), None
+    together, alone = caps.of(x), [caps.of(v[None])[0] for v in x]
+    assert all((a == b).all() for a, b in zip(together, alone, strict=True))
+    books = caps.books[20][1]
+    for v, got in zip(x[:20], alone, strict=False):
+        want = []
+        for number, (rotation, words) in enumerate(books):
+            turned = (np.pad(v, (0, len(rotation) - 20)) @ rotation).reshape(code.blocks, -1)
+            sums = (words[0] @ turned[0])[:, None] + (words[1] @ turned[1])[None, :]
+            want += [int(i * code.words + j) * p.codes + number for i, j in zip(*np.nonzero(sums / np.sqrt(2) >= code.height), strict=True)]
+        assert sorted(want) == got.tolist()
+
+
+def test_clashing_columns_change_nothing(spark):
+    from millrace.llm import exact_dedup
+
+    clash = ["key", "norm", "slot", "rank", "hot", "rep", "caps", "cap", "d", "copies", "token", "gid", "n", "node", "prefix", "parity", "s1", "id", "n_links", "kept", "keep_id", "component_id"]
+    docs = spark.createDataFrame(near_copies(7), "doc_id long, text string")
+    vectors = spark.createDataFrame([(i, [float(i % 3), 1.0, 0.05 * i]) for i in range(12)], "vec_id long, embedding array<float>")
+    for f, df in ((exact_dedup.dedup, docs), (ngram_join.near_components, docs), (embed_caps.near_components, vectors)):
+        wide = df.select("*", *[F.lit("clash").alias(c) for c in clash])
+        plain, other = (sorted(map(str, f(x).collect())) for x in (df, wide))
+        assert plain == other
