@@ -105,7 +105,10 @@ def train(texts: Sequence[Iterable[bytes]], labels: np.ndarray, p: Params) -> Mo
     Each item of ``texts`` gives the pieces of one text, and is asked for once an epoch; one text is held at a time.
     """
     rng = np.random.default_rng(p.seed)
-    weights = {"table": rng.normal(0, 0.3, (p.width, 256, p.filters)).astype(np.float32), "bias": np.zeros(p.filters, np.float32), "out": rng.normal(0, 0.3, p.filters).astype(np.float32), "shift": np.zeros(1, np.float32)}
+    weights = {
+        "table": rng.normal(0, 0.3, (p.width, 256, p.filters)).astype(np.float32), "bias": np.zeros(p.filters, np.float32),
+        "out": rng.normal(0, 0.3, p.filters).astype(np.float32), "shift": np.zeros(1, np.float32),
+    }
     rate = float(labels.mean()) if len(labels) else 0.5
     if rate in (0.0, 1.0) or not len(labels):
         return Model(weights["table"], weights["bias"], np.zeros(p.filters), float(np.log(min(max(rate, 0.01), 0.99) / (1 - min(max(rate, 0.01), 0.99)))), p)
@@ -157,7 +160,9 @@ class StoredTexts(Sequence):
         return [self.file.read(size)]
 
 
-def fit(docs: DataFrame, labels: DataFrame, use: Column, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", params: Params = Params()) -> Model:
+def fit(
+    docs: DataFrame, labels: DataFrame, use: Column, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", params: Params = Params(),
+) -> Model:
     """Learn from labelled documents for which ``use`` (over the id column) holds.
 
     The sample is bounded by ``max_rows`` alone: each of its texts is read whole, from a temporary file of the driver

@@ -169,7 +169,10 @@ def first_pairs(postings: DataFrame, p: Params) -> DataFrame:
     leads = rows.filter(F.col("before").isNull() & (F.col("held") > SLOT))
     over = Window.partitionBy("token").orderBy("me.n", "me.gid")
     pairs = pairs.union(leads.select("me", F.lag("me").over(over).alias("other")))
-    pairs = pairs.filter(F.col("other").isNotNull() & (F.col("me.gid") != F.col("other.gid")) & may_link(p, F.col("me.n"), F.col("me.pos"), F.col("other.n"), F.col("other.pos")))
+    pairs = pairs.filter(
+        F.col("other").isNotNull() & (F.col("me.gid") != F.col("other.gid"))
+        & may_link(p, F.col("me.n"), F.col("me.pos"), F.col("other.n"), F.col("other.pos"))
+    )
     return _ordered(pairs.select(F.col("me.gid").alias("a"), F.col("other.gid").alias("b")))
 
 
@@ -186,10 +189,18 @@ def mixed_lists(postings: DataFrame, members: DataFrame) -> DataFrame:
     """
     parts = cut(members.groupBy("gid", "n", "component").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("rep"), F.first("parity").alias("parity")))
     parts = parts.withColumn("parity", F.when(F.col("size") == 1, F.col("parity")))
-    within = parts.select(F.xxhash64(F.lit("group"), F.col("gid")).alias("token"), "gid", "n", F.lit(0).cast("long").alias("pos"), "component", "size", "rep", "parity")
-    rows = postings.select("token", "gid", F.col("pos").cast("long").alias("pos")).join(parts, "gid").select("token", "gid", "n", "pos", "component", "size", "rep", "parity").union(within)
+    within = parts.select(
+        F.xxhash64(F.lit("group"), F.col("gid")).alias("token"), "gid", "n", F.lit(0).cast("long").alias("pos"), "component", "size", "rep", "parity",
+    )
+    rows = (
+        postings.select("token", "gid", F.col("pos").cast("long").alias("pos")).join(parts, "gid")
+        .select("token", "gid", "n", "pos", "component", "size", "rep", "parity").union(within)
+    )
     tally = rows.groupBy("token", "component").agg(F.sum("size").alias("size"))
-    mixed = tally.groupBy("token").agg(F.count(F.lit(1)).alias("kinds"), F.max_by("component", F.struct("size", "component")).alias("common"), (F.sum("size") - F.max("size")).alias("outside")).filter("kinds > 1")
+    mixed = tally.groupBy("token").agg(
+        F.count(F.lit(1)).alias("kinds"), F.max_by("component", F.struct("size", "component")).alias("common"),
+        (F.sum("size") - F.max("size")).alias("outside"),
+    ).filter("kinds > 1")
     return stash(rows.join(mixed.select("token", "common", "outside"), "token").drop("size"), "mixed-lists")
 
 
@@ -215,13 +226,28 @@ def rest_pairs(postings: DataFrame, members: DataFrame, p: Params) -> DataFrame:
     """
     rows = mixed_lists(postings, members)
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / p.percent)))).cast("long")
-    right = rows.select("token", band.alias("band"), F.struct("gid", "n", "pos", "component", "parity", (F.col("component") == F.col("common")).alias("in_common")).alias("r"))
-    left = rows.filter("component <> common").select("token", F.explode(F.array(band - 1, band, band + 1)).alias("band"), F.struct("gid", "n", "pos", "component", "parity").alias("l"))
-    once = F.col("r.in_common") | (F.col("l.gid") < F.col("r.gid")) | ((F.col("l.gid") == F.col("r.gid")) & (F.col("l.component") < F.col("r.component")))
-    pairs = left.join(right, ["token", "band"]).filter((F.col("l.component") != F.col("r.component")) & once & may_link(p, F.col("l.n"), F.col("l.pos"), F.col("r.n"), F.col("r.pos")))
+    right = rows.select(
+        "token", band.alias("band"),
+        F.struct("gid", "n", "pos", "component", "parity", (F.col("component") == F.col("common")).alias("in_common")).alias("r"),
+    )
+    left = rows.filter("component <> common").select(
+        "token", F.explode(F.array(band - 1, band, band + 1)).alias("band"), F.struct("gid", "n", "pos", "component", "parity").alias("l"),
+    )
+    once = (
+        F.col("r.in_common") | (F.col("l.gid") < F.col("r.gid"))
+        | ((F.col("l.gid") == F.col("r.gid")) & (F.col("l.component") < F.col("r.component")))
+    )
+    pairs = left.join(right, ["token", "band"]).filter(
+        (F.col("l.component") != F.col("r.component")) & once & may_link(p, F.col("l.n"), F.col("l.pos"), F.col("r.n"), F.col("r.pos"))
+    )
     pairs = pairs.filter(may_agree(p, F.col("l.n"), F.col("l.parity"), F.col("r.n"), F.col("r.parity")))
     pairs = pairs.select(F.col("l.gid").alias("g1"), F.col("l.component").alias("c1"), F.col("r.gid").alias("g2"), F.col("r.component").alias("c2")).distinct()
-    one, two = (members.select(F.col("gid").alias(f"g{i}"), F.col("component").alias(f"c{i}"), F.col("rep").alias(x), F.col("n").alias(f"n{i}"), F.col("parity").alias(f"parity{i}")) for i, x in ((1, "a"), (2, "b")))
+    one, two = (
+        members.select(
+            F.col("gid").alias(f"g{i}"), F.col("component").alias(f"c{i}"), F.col("rep").alias(x), F.col("n").alias(f"n{i}"), F.col("parity").alias(f"parity{i}"),
+        )
+        for i, x in ((1, "a"), (2, "b"))
+    )
     pairs = pairs.join(one, ["g1", "c1"]).join(two, ["g2", "c2"]).filter(may_agree(p, F.col("n1"), F.col("parity1"), F.col("n2"), F.col("parity2")))
     return _ordered(pairs.select("a", "b"))
 
@@ -294,12 +320,17 @@ def all_pairs(postings: DataFrame, reps: DataFrame, p: Params) -> DataFrame:
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / p.percent)))).cast("long")
     rows = postings.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("gid"), F.col("blocks"))).withColumn("band", band)
     me = F.struct("gid", "n", "pos")
-    left = rows.withColumn("hi", F.explode(F.sequence("block", F.col("blocks") - 1))).select("token", F.col("block").alias("lo"), "hi", F.explode(F.array(*[F.col("band") + i for i in (-1, 0, 1)])).alias("band"), me.alias("l"))
+    left = rows.withColumn("hi", F.explode(F.sequence("block", F.col("blocks") - 1))).select(
+        "token", F.col("block").alias("lo"), "hi", F.explode(F.array(*[F.col("band") + i for i in (-1, 0, 1)])).alias("band"), me.alias("l"),
+    )
     right = rows.withColumn("lo", F.explode(F.sequence(F.lit(0).cast("long"), "block"))).select("token", "lo", F.col("block").alias("hi"), "band", me.alias("r"))
     met = left.join(right, ["token", "lo", "hi", "band"]).filter((F.col("lo") < F.col("hi")) | (F.col("l.gid") < F.col("r.gid")))
     met = met.filter(may_link(p, F.col("l.n"), F.col("l.pos"), F.col("r.n"), F.col("r.pos")))
     met = _ordered(met.select(F.col("l.gid").alias("a"), F.col("r.gid").alias("b")))
-    one, two = (reps.select(F.col("gid").alias(f"g{i}"), F.col("rep").alias(x), F.col("n").alias(f"n{i}"), F.col("parity").alias(f"parity{i}")) for i, x in ((1, "a"), (2, "b")))
+    one, two = (
+        reps.select(F.col("gid").alias(f"g{i}"), F.col("rep").alias(x), F.col("n").alias(f"n{i}"), F.col("parity").alias(f"parity{i}"))
+        for i, x in ((1, "a"), (2, "b"))
+    )
     across = met.select(F.col("a").alias("g1"), F.col("b").alias("g2")).join(one, "g1").join(two, "g2")
     within = one.join(two, (F.col("g1") == F.col("g2")) & (F.col("a") < F.col("b")))
     columns = ["a", "b", "n1", "parity1", "n2", "parity2"]
@@ -324,7 +355,10 @@ def near_links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     far = both.join(classes.groupBy(F.col("rep_id").alias("other")).agg(F.sum("size").alias("size")), "other").groupBy("rep_id").agg(F.sum("size").alias("far"))
     counted = classes.join(far, "rep_id", "left").select(*key, "rep_id", (F.col("size") - 1 + F.coalesce("far", F.lit(0))).cast("long").alias("n_links"))
     out = rows.select("doc_id", *key).join(counted, key, "left")
-    members = out.select(real_id("doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), real_id(F.coalesce("rep_id", "doc_id")).alias("rep_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    members = out.select(
+        real_id("doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), real_id(F.coalesce("rep_id", "doc_id")).alias("rep_id"),
+        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+    )
     return links.select(real_id("a").alias("a"), real_id("b").alias("b")), members
 
 
@@ -358,9 +392,15 @@ def near_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         links = cut(links.union(verified(spread, docs, p)))
         members = placed(links)
     more = cut(verified(rest_pairs(postings, members, p), docs, p))
-    equal = some.join(reps.select("n", "pkey", "s1", "s2", "rep"), ["n", "pkey", "s1", "s2"]).filter("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    equal = (
+        some.join(reps.select("n", "pkey", "s1", "s2", "rep"), ["n", "pkey", "s1", "s2"]).filter("doc_id <> rep")
+        .select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    )
     whole = components(links.union(more).union(equal))
     out = rows.select("doc_id", "n").join(whole.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     node = [F.col("doc_id").alias("node")] if keep_node else []
-    return out.select(real_id("doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), real_id(component).alias("component_id"), (F.col("doc_id") == component).alias("kept"), *node)
+    return out.select(
+        real_id("doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), real_id(component).alias("component_id"),
+        (F.col("doc_id") == component).alias("kept"), *node,
+    )
