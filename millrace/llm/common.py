@@ -12,19 +12,20 @@ WHITE = " \t\n\x0b\f\r"
 
 #: The type that stands for "no doc_id" where ids are ordered or joined: smaller than any real id.
 NO_ID = -(2**63)
-#: Bytes of an Arrow batch on its way to a Python worker. A batch holds one row at least, however long its text is.
-BATCH_BYTES = 4 << 20
-_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of an Arrow batch on its way to a Python worker, and rows that a Parquet scan decodes at once. A batch holds one
+#: row at least, however long its text is.
+BATCH_BYTES, SCAN_ROWS = 1 << 20, 512
+_BATCH_CONF, _SCAN_CONF = "spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize"
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches of this session by bytes (``BATCH_BYTES``), unless they are bounded closer already.
-
-    A batch is bounded by its number of rows alone by default, which says little about texts.
+    """Bound the Arrow batches of this session by bytes and the batches of its Parquet scans by few rows, unless they are
+    bounded closer already. By default both are bounded by thousands of rows, which says little about long texts.
     """
-    now = spark.conf.get(_BATCH_CONF, None)
-    if now is None or not now.isdigit() or int(now) > BATCH_BYTES:
-        spark.conf.set(_BATCH_CONF, BATCH_BYTES)
+    for name, most in ((_BATCH_CONF, BATCH_BYTES), (_SCAN_CONF, SCAN_ROWS)):
+        now = spark.conf.get(name, None)
+        if now is None or not now.isdigit() or int(now) > most:
+            spark.conf.set(name, most)
 
 
 def arrow_fields(rows: DataFrame) -> str:

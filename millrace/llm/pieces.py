@@ -9,7 +9,6 @@ back into blanks. The vocabulary comes from a model file and is never trained he
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -293,36 +292,25 @@ def decode(ids: list[int] | np.ndarray, v: Vocabulary) -> str:
     return text[1:] if text.startswith(" ") else text
 
 
-_LOADED: dict[tuple[bytes, str], Vocabulary] = {}
-
-
-def _loaded(data: bytes, scores: str) -> Vocabulary:
-    """One vocabulary for each worker process, with the words that it has met."""
-    key = (hashlib.sha256(data).digest(), scores)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = load(data, scores)
-    return _LOADED[key]
-
-
 def encode(docs: DataFrame, model: bytes, *, text_col: str = "text", scores: str = "auto", keep_text: bool = True) -> DataFrame:
     """docs plus ids (array<int>), n_pieces, n_bytes and lossless (columns of those names are replaced).
 
     Without ``keep_text`` the text column goes, and does not travel back from the Python workers.
 
     n_bytes counts byte-fallback pieces; lossless says whether decoding the ids gives the text back (a marker in
-    the text itself becomes a blank). Null and empty texts have no pieces. The model file's bytes (some hundred
-    KB) are broadcast. Every row's whole text is encoded in one map without a shuffle; an empty table gives no rows.
+    the text itself becomes a blank). Null and empty texts have no pieces. The vocabulary is read on the driver and
+    broadcast (a few MB; its size is that of the file, whatever the documents). Every row's whole text is encoded in
+    one map without a shuffle; an empty table gives no rows.
     """
     bounded_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(load(model, scores))
     new = ("ids", "n_pieces", "n_bytes", "lossless")
     kept = [c for c in docs.columns if c not in new]
     at = kept.index(text_col)
     told = [i for i, c in enumerate(kept) if keep_text or c != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = _loaded(shared.value, scores)
+        v = shared.value
         for batch in batches:
             texts = [x or "" for x in batch.column(at).to_pylist()]
             found = encode_batch(texts, v)
@@ -343,12 +331,12 @@ def encode(docs: DataFrame, model: bytes, *, text_col: str = "text", scores: str
 def decode_ids(rows: DataFrame, model: bytes, *, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """rows plus the decoded text of an id array; null ids give null, no ids the empty text."""
     bounded_batches(rows.sparkSession)
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    shared = rows.sparkSession.sparkContext.broadcast(load(model))
     kept = [c for c in rows.columns if c != out_col]
     at = kept.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = _loaded(shared.value, "auto")
+        v = shared.value
         for batch in batches:
             texts = [None if x is None else decode(x, v) for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*kept, out_col])
