@@ -270,44 +270,44 @@ def marked(rows: DataFrame, p: Params) -> DataFrame:
     return keyed.mapInArrow(mark, "d int, cap long, b1 int, b2 int, side int, rep long")
 
 
-def _new_links(rep: np.ndarray, x: np.ndarray, copies: np.ndarray, side: np.ndarray, caps: list[np.ndarray], bucket: int, across: bool, p: Params):
-    """(rep, links, root) of the vectors with links that no smaller shared cap has already given."""
+def _linked(rep: np.ndarray, x: np.ndarray, side: np.ndarray, across: bool, p: Params) -> tuple[np.ndarray, np.ndarray] | None:
+    """(rows, links): the rows of a group that have links, and which of these rows link with which."""
     linked = x @ x.T >= p.threshold
     linked &= rep[:, None] != rep[None, :]
     if across:
         linked &= side[:, None] != side[None, :]
     rows = np.flatnonzero(linked.any(axis=1))
-    if not len(rows):
-        return None
-    linked = linked[np.ix_(rows, rows)]
-    before = [c[: np.searchsorted(c, bucket)] for c in (caps[i] for i in rows)]
+    return (rows, linked[np.ix_(rows, rows)]) if len(rows) else None
+
+
+def _new_links(rep: np.ndarray, copies: np.ndarray, linked: np.ndarray, caps: list[np.ndarray], cap: int):
+    """(rep, links, root) of the rows with links that no smaller shared cap has already given."""
+    before = [c[: np.searchsorted(c, cap)] for c in caps]
     names, at = np.unique(np.concatenate(before), return_inverse=True)
-    who = np.repeat(np.arange(len(rows)), [len(c) for c in before])
+    who = np.repeat(np.arange(len(rep)), [len(c) for c in before])
     for lo in range(0, len(names), 4096):
         part = (at >= lo) & (at < lo + 4096)
-        holds = np.zeros((len(rows), min(4096, len(names) - lo)), np.float32)
+        holds = np.zeros((len(rep), min(4096, len(names) - lo)), np.float32)
         holds[who[part], at[part] - lo] = 1
-        linked &= holds @ holds.T == 0
+        linked = linked & (holds @ holds.T == 0)
     keep = np.flatnonzero(linked.any(axis=1))
     if not len(keep):
         return None
-    linked = linked[np.ix_(keep, keep)]
-    rows = rows[keep]
-    label = rep[rows]
+    linked, label = linked[np.ix_(keep, keep)], rep[keep]
     while True:
         near = np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1)
         new = np.minimum(label, near)
         if (new == label).all():
             break
         label = new
-    return rep[rows], linked @ copies[rows], label
+    return rep[keep], linked @ copies[keep], label
 
 
 def bucket_links(rows: DataFrame, caps: Caps, p: Params) -> DataFrame:
     """(rep, links, root) from rows(d, cap, b1, b2, side, rep, copies, embedding), compared per group (KEY).
 
-    Rows come sorted; one group of at most two blocks is held at a time. A vector's caps are decoded again from it, as
-    they take more room than the vector.
+    Rows come sorted; one group of at most two blocks is held at a time. The caps of a vector with a link are decoded
+    again from it, as they take more room than the vector.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,19 +318,20 @@ def bucket_links(rows: DataFrame, caps: Caps, p: Params) -> DataFrame:
             vectors = vectors.chunk(0) if isinstance(vectors, pa.ChunkedArray) else vectors
             across = table.column("b1").to_numpy() != table.column("b2").to_numpy()
             edge = [*np.flatnonzero(_edges(table)), table.num_rows]
-            out: list[tuple] = []
+            if len(known) > DECODED:
+                known.clear()
+            found, new = [], {}
             for a, b in zip(edge, edge[1:], strict=False):
                 unit = _matrix(vectors.slice(a, b - a))
-                new = [i for i in range(b - a) if int(rep[a + i]) not in known]
-                if new:
-                    if len(known) > DECODED:
-                        known.clear()
-                        new = list(range(b - a))
-                    known.update(zip(rep[a:b][new].tolist(), caps.of(unit[new]), strict=True))
-                lists = [known[r] for r in rep[a:b].tolist()]
-                if (found := _new_links(rep[a:b], unit, copies[a:b], side[a:b], lists, cap[a], across[a], p)) is not None:
-                    out.append(found)
-            if out:
+                if (got := _linked(rep[a:b], unit, side[a:b], across[a], p)) is not None:
+                    found.append((a + got[0], got[1]))
+                    for i in got[0]:
+                        if int(rep[a + i]) not in known:
+                            new.setdefault(unit.shape[1], {})[int(rep[a + i])] = unit[i]
+            for units in new.values():
+                known.update(zip(units, caps.of(np.stack(list(units.values()))), strict=True))
+            out = [_new_links(rep[at], copies[at], linked, [known[r] for r in rep[at].tolist()], cap[at[0]]) for at, linked in found]
+            if out := [o for o in out if o is not None]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[i] for o in out])) for i in range(3)], ["rep", "links", "root"])
 
     keyed = rows.select(*KEY, "side", "rep", "copies", "embedding").repartition(*KEY).sortWithinPartitions(*KEY)
