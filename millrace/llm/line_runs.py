@@ -26,8 +26,6 @@ _STRIP = b" \t\n\r\x0b\x0c"
 RUN = "h1 bigint, h2 bigint, n bigint, keeper bigint"
 KEY = ["h1", "h2"]
 MANIFEST = "version int, level int, run int, buckets int, next int"
-#: A repeated line counts as frequent above 1/HOT_SHARE of a mean bucket's postings.
-HOT_SHARE = 4
 
 
 def _line_key(line: bytes, least: int) -> bytes | None:
@@ -131,23 +129,22 @@ class LineRuns:
             level += 1
         self._commit()
 
+    def forget(self) -> None:
+        """Take the table out of the session's catalog. Its files stay; a store opened on the folder reads them again."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
     def repeated(self, min_docs: int) -> DataFrame:
         """(h1, h2, n, keeper) of the lines that at least ``min_docs`` documents hold."""
         return self.merged().filter(F.col("n") >= min_docs)
 
 
-def lines_to_drop(held: DataFrame, repeated: DataFrame, partitions: int) -> DataFrame:
+def lines_to_drop(held: DataFrame, repeated: DataFrame) -> DataFrame:
     """(doc_id, row, lines): the repeated lines of each row of postings that its document does not keep.
 
-    A line that more than 1/(HOT_SHARE * partitions) of all postings hold is frequent. There are at most HOT_SHARE *
-    partitions such lines, which are broadcast; the postings of the others are joined by a shuffle.
+    Both sides are tables, so the join is between two plain exchanges and Spark splits the postings of a frequent line
+    over several tasks.
     """
-    total = held.count()
-    least = -(-total // (HOT_SHARE * partitions))
-    hot = F.broadcast(repeated.filter(F.col("n") > least).select(*KEY, "keeper"))
-    rest = repeated.filter(F.col("n") <= least).select(*KEY, "keeper")
-    common = held.join(hot, KEY)
-    gone = common.union(held.join(hot.select(*KEY), KEY, "left_anti").join(rest, KEY)).filter("doc_id <> keeper")
+    gone = held.join(repeated.select(*KEY, "keeper"), KEY).filter("doc_id <> keeper")
     return gone.groupBy("doc_id", "row").agg(F.collect_list(F.struct(*KEY)).alias("lines"))
 
 
@@ -209,8 +206,8 @@ def dedup(
     empty table gives no rows. Texts of any length are read whole.
 
     The documents enter the store in ``batches`` id ranges, newest first; one pass hashes the lines of all of them.
-    Lines that recur across many documents are summed per task before each shuffle and joined back by a broadcast
-    of the frequent ones; the list of dropped lines of a row is bounded by its own lines.
+    Lines that recur across many documents are summed per task before each shuffle, and Spark splits their postings
+    when they are joined back; the list of dropped lines of a row is bounded by its own lines.
     """
     spark = docs.sparkSession
     store = LineRuns(spark, folder or fresh_dir(spark, "line-store"), fanout=fanout, new=True)
@@ -221,5 +218,6 @@ def dedup(
     for k in reversed(range(batches)):
         store.add(held.filter(F.col("batch") == k))
     repeated = stash(store.repeated(min_docs), "repeated-lines")
-    dropped = stash(lines_to_drop(held.drop("batch"), repeated, store.buckets), "dropped-lines")
+    store.forget()
+    dropped = stash(lines_to_drop(held.drop("batch"), repeated), "dropped-lines")
     return drop_lines(docs, dropped, id_col=id_col, text_col=text_col, least=least, keep_text=keep_text)
