@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from millrace.functions.carried import Fold, carried
 from millrace.scratch import fresh_dir
 
 
@@ -21,7 +22,7 @@ def _placed(df: DataFrame, order: tuple[str, ...]) -> DataFrame:
 def with_running_sum(df: DataFrame, value: str, *order: str, name: str) -> DataFrame:
     """df plus the sum of ``value`` up to each row in the order of the given columns, which must name each row.
 
-    Done as ``with_position`` does it: sums within range partitions, plus one number per partition.
+    Done as ``with_position`` does it: sums within range partitions, plus one number per partition. Rows are written when this is called.
     """
     placed = _placed(df, order)
     sums = placed.groupBy("_part").agg(F.sum(value).alias("_n"))
@@ -33,28 +34,15 @@ def with_running_sum(df: DataFrame, value: str, *order: str, name: str) -> DataF
 def with_sum_since(df: DataFrame, add: Column, reset: Column, group: str, *order: str, name: str) -> DataFrame:
     """df plus, within each group in the given order, the sum of ``add`` (0 or more) after the last row where ``reset``.
 
-    No group stands in one task: sums and the last reset go over range partitions of (group, order), and from one
-    partition to the next as one row each. A sum up to the last reset, or to the group's first row, is taken off.
-    """
-    sums = with_running_sum(df.groupBy(group).agg(F.sum(add).alias("_own")), "_own", group, name="_upto")
-    placed = _placed(df.withColumn("_add", add).withColumn("_reset", reset), (group, *order))
-    local = Window.partitionBy("_part").orderBy(group, *order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = placed.withColumn("_sum", F.sum("_add").over(local)).withColumn("_at", F.max(F.when(F.col("_reset"), F.col("_sum"))).over(local))
-    parts = rows.groupBy("_part").agg(F.sum("_add").alias("_n"), F.max("_at").alias("_last"))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
-    parts = parts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    parts = parts.select("_part", "_before", F.max(F.col("_before") + F.col("_last")).over(earlier).alias("_carried"))
-    start = sums.select(group, (F.col("_upto") - F.col("_own")).alias("_start"))
-    rows = rows.join(F.broadcast(parts), "_part").join(start, group)
-    off = F.greatest(F.coalesce(F.col("_before") + F.col("_at"), F.col("_carried"), F.lit(0)), F.col("_start"))
-    return rows.withColumn(name, (F.col("_before") + F.col("_sum") - off).cast("long")).drop("_part", "_add", "_reset", "_sum", "_at", "_before", "_carried", "_start")
+    No group stands in one task: see ``carried``, which writes the rows once."""
+    return carried(df, (group,), order, **{name: Fold("since", add, reset)})
 
 
 def with_position(df: DataFrame, *order: str, name: str = "pos") -> DataFrame:
     """df plus its row number (from 0) in the order of the given columns, which must name each row.
 
-    Rows are range-partitioned and their partition written down, so both passes see the same split; the offsets
-    are one number per partition, which bounds the broadcast.
+    Rows are range-partitioned and written with their partition when this is called, so both passes see the same split:
+    select what is needed first. The offsets are one number per partition, which bounds the broadcast.
     """
     placed = _placed(df, order)
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))

@@ -136,6 +136,11 @@ def next_token(body: Column) -> Column:
     return F.when(F.schema_of_variant(quoted) == "STRING", F.nullif(token, F.lit("")))
 
 
+def json_long(text: Column, path: str) -> Column:
+    """A whole number in a JSON text, also one written as a text; null where it is neither or the text is no JSON."""
+    return F.try_variant_get(F.try_parse_json(text), path, "string").try_cast("long")
+
+
 def batch_name(ts_ntz: Column) -> Column:
     """The name of a batch begun at a UTC time, such as 20240131-235959."""
     return F.date_format(ts_ntz, "yyyyMMdd-HHmmss")

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from millrace.functions.carried import Fold, carried
 from millrace.functions.positions import with_running_sum
+from millrace.functions.scalars import pacific_day
 
 RETRIES = 5
 EXHAUSTED = ("quotaExceeded", "dailyLimitExceeded")
@@ -26,9 +28,10 @@ def search_budget(pages: DataFrame, quota: int, pages_per_query: int, cost: int
 
 
 def upload_cap(pages: DataFrame, cap: int) -> DataFrame:
-    """pages(channel, page, n): fetched while fewer than ``cap`` uploads were found before, so a page may overshoot."""
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("channel").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return pages.withColumn("found_before", before.cast("long")).filter(F.col("found_before") < cap)
+    """pages(channel, page, n): fetched while fewer than ``cap`` uploads were found before, so a page may overshoot.
+
+    A channel may have any share of all pages."""
+    return carried(pages, ("channel",), ("page",), found_before=Fold("sum", F.col("n"), before=True)).filter(F.col("found_before") < cap)
 
 
 def search_resume(pages: DataFrame, pages_per_query: int) -> DataFrame:
@@ -65,31 +68,44 @@ def quota_by_day(ledger: DataFrame) -> DataFrame:
     return ledger.groupBy("day").agg(F.sum("cost").cast("long").alias("used"), F.sum(F.when(F.col("search"), F.col("cost")).otherwise(0)).cast("long").alias("search_used"), F.count(F.lit(1)).alias("calls"))
 
 
+def quota_by_run_day(calls: DataFrame, runs: DataFrame) -> DataFrame:
+    """calls(id, at, cost, search) and runs(at), both UTC -> (day, used, search_used, calls, late).
+
+    A run charges all its calls to the day on which it began, in the time zone of the quota, also those after midnight; late
+    counts these. A call belongs to the last run that began at or before it; one before any run counts on its own day. Calls
+    and starts are merged in one order, in which the last start is carried on; there is no join on a range.
+    """
+    starts = runs.select("at").distinct().select("at", F.lit(-1).cast("long").alias("id"), F.lit(None).cast("long").alias("cost"), F.lit(None).cast("boolean").alias("search"), F.lit(False).alias("call"))
+    merged = starts.unionByName(calls.select("at", F.col("id").cast("long").alias("id"), F.col("cost").cast("long").alias("cost"), "search", F.lit(True).alias("call")))
+    rows = carried(merged, (), ("at", "call", "id"), run=Fold("last", F.when(~F.col("call"), F.col("at")))).filter("call")
+    own, day = pacific_day(F.col("at")), pacific_day(F.coalesce("run", "at"))
+    rows = rows.select(day.alias("day"), "cost", "search", (own != day).alias("late"))
+    searched = F.sum(F.when(F.col("search"), F.col("cost")).otherwise(0)).cast("long")
+    return rows.groupBy("day").agg(F.sum("cost").cast("long").alias("used"), searched.alias("search_used"), F.count(F.lit(1)).alias("calls"), F.count_if("late").alias("late"))
+
+
 def quota_guard(ledger: DataFrame, quota: int, reason: str | None = None) -> DataFrame:
     """Per day the calls that the quota lets through, in the order of their id; the first refusal ends the day's run.
 
     reason: a column with the reason of the response; one that says the quota is exhausted was paid for, and leaves
-    nothing for the calls after it.
+    nothing for the calls after it. A day may hold any share of all calls.
     """
-    so_far = Window.partitionBy("day").orderBy("id")
-    rows = ledger.withColumn("running", F.sum("cost").over(so_far))
-    ok = F.col("running") <= quota
-    if reason is not None:
-        told = F.when(F.col(reason).isin(*EXHAUSTED), 1).otherwise(0)
-        rows = rows.withColumn("_told", F.coalesce(F.sum(told).over(so_far.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        ok = ok & (F.col("_told") == 0)
+    told = F.lit(0) if reason is None else F.when(F.col(reason).isin(*EXHAUSTED), 1).otherwise(0)
+    rows = carried(ledger.select("day", "id", "cost", told.alias("told")), ("day",), ("id",), running=Fold("sum", F.col("cost")), told_before=Fold("sum", F.col("told"), before=True))
+    ok = (F.col("running") <= quota) & (F.col("told_before") == 0)
     return rows.groupBy("day").agg(F.count_if(ok).alias("allowed"), F.coalesce(F.max(F.when(ok, F.col("running"))), F.lit(0)).cast("long").alias("used"), F.min(F.when(~ok, F.col("id"))).alias("refused_at"))
 
 
 def api_outcomes(responses: DataFrame) -> DataFrame:
     """responses(status, body, attempt) plus reason and outcome: ok, empty, out_of_quota, retry or error.
 
-    status null stands for a transport error. Up to five retries are made of those, of 5xx and of rate limits.
+    status null stands for a transport error. Up to five retries are made of those, of 5xx and of rate limits. A body that
+    is no JSON makes a 200 an error.
     """
     reason = F.coalesce(F.get_json_object("body", "$.error.errors[0].reason"), F.lit(""))
     transient = F.col("status").isNull() | (F.col("status") >= 500) | F.col("reason").isin("rateLimitExceeded", "userRateLimitExceeded")
     outcome = (
-        F.when(F.col("status") == 200, "ok").when(F.col("status") == 404, "empty")
+        F.when((F.col("status") == 200) & F.try_parse_json("body").isNull(), "error").when(F.col("status") == 200, "ok").when(F.col("status") == 404, "empty")
         .when(F.col("status").isNotNull() & F.col("reason").isin(*EXHAUSTED), "out_of_quota")
         .when(transient & (F.col("attempt") < RETRIES), "retry").otherwise("error")
     )

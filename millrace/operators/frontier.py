@@ -99,8 +99,11 @@ def pending_searches(queries: DataFrame, searches: DataFrame) -> DataFrame:
 
 
 def pending_listed(listed: DataFrame, searches: DataFrame) -> DataFrame:
-    """listed(place, query), of any length, with the searches that are not done."""
-    return listed.join(searches.filter("NOT done"), "query")
+    """listed(place, query), of any length, with the searches that are not done. A query that has no row in ``searches``
+    is new, so it is pending, with 0 pages where searches have pages and without a next page."""
+    new = {"done": F.lit(False), "pages": F.lit(0)}
+    out = listed.join(searches, "query", "left")
+    return out.withColumns({c: F.coalesce(c, new[c].cast(searches.schema[c].dataType)) for c in new if c in searches.columns}).filter("NOT done")
 
 
 def gone(requested: DataFrame, returned: DataFrame) -> DataFrame:
@@ -115,19 +118,21 @@ def batches(videos: DataFrame, size: int, order: str = "seq") -> DataFrame:
 
 
 def counts(videos: DataFrame, searches: DataFrame, channels: DataFrame) -> DataFrame:
-    """(what, n): videos by status, accepted by source class, waiting, rejected by class, searches, channels."""
+    """(what, n): videos by status, accepted by source class, waiting, rejected by class, searches, channels, in this order
+    and each part by name."""
     accepted, rejected, waiting = F.col("status") == "accepted", F.col("status") == "rejected", "accepted, not planned or queued-done"
+    said = lambda part, what, when=F.lit(True): F.when(when, F.struct(F.lit(part).alias("part"), what.alias("what"), F.lit(1).alias("n")))
     of_video = F.array(
-        F.concat(F.lit("videos "), "status"), F.when(accepted, F.concat(F.lit("accepted from "), source_class(F.col("source")))),
-        F.when(accepted & F.col("batch").isNull() & F.col("fetch_state").isNull(), waiting), F.when(rejected, F.concat(F.lit("rejected: "), F.split_part("reason", F.lit(":"), F.lit(1)))),
+        said(0, F.concat(F.lit("videos "), "status")), said(1, F.concat(F.lit("accepted from "), source_class(F.col("source"))), accepted),
+        said(2, F.lit(waiting), accepted & F.col("batch").isNull() & F.col("fetch_state").isNull()), said(3, F.concat(F.lit("rejected: "), F.split_part("reason", F.lit(":"), F.lit(1))), rejected),
     )
     parts = [
-        videos.select(F.explode(of_video).alias("what"), F.lit(1).alias("n")).filter("what IS NOT NULL"),  # each video is read once
-        videos.sparkSession.createDataFrame([(waiting, 0)], "what string, n int"),
-        searches.select(F.concat(F.lit("searches "), F.when(F.col("done"), "done").otherwise("pending")).alias("what"), F.lit(1).alias("n")),
-        channels.select(F.concat(F.lit("channels "), "kind", F.when(F.col("done"), " done").otherwise(" pending")).alias("what"), F.lit(1).alias("n")),
+        videos.select(F.inline(F.array_compact(of_video))),  # each video is read once
+        videos.sparkSession.createDataFrame([(2, waiting, 0)], "part int, what string, n int"),
+        searches.select(F.lit(4).alias("part"), F.concat(F.lit("searches "), F.when(F.col("done"), "done").otherwise("pending")).alias("what"), F.lit(1).alias("n")),
+        channels.select(F.lit(5).alias("part"), F.concat(F.lit("channels "), "kind", F.when(F.col("done"), " done").otherwise(" pending")).alias("what"), F.lit(1).alias("n")),
     ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.groupBy("what").agg(F.sum("n").cast("long").alias("n"))
+    return out.groupBy("part", "what").agg(F.sum("n").cast("long").alias("n")).orderBy("part", "what").drop("part")  # a few rows

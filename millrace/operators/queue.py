@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.functions.scalars import is_direct, is_strike
+from millrace.functions.carried import Fold, carried
+from millrace.functions.scalars import is_direct, is_strike, json_long
 
 SECOND_US = 1_000_000
 
@@ -53,6 +54,38 @@ def lease_intervals(events: DataFrame) -> DataFrame:
     return out
 
 
+def lease_attempts(events: DataFrame, attempts: DataFrame, as_of_us: int) -> DataFrame:
+    """Per lease: lease_id, video, worker, start_us, until_us, ended_us, renewals, tries, strikes, state.
+
+    attempts(video, ts_us, id, worker, outcome). An attempt is part of a lease if the lease's worker made it while the lease was
+    the video's latest and neither answered nor run out; strikes are retried within a lease and are no tries. state: "finished"
+    or "requeued" by an answer, "replaced" by the next lease before it had run out, "ran_out" unanswered at ``as_of_us``, "open".
+
+    Both logs are merged in one order (at one moment leases and renewals, attempts, then answers), in which the open lease is
+    carried forward; nothing is joined on a range of time, and one video may have any share of both logs.
+    """
+    rank = F.when(F.col("kind").isin("lease", "extend"), 0).otherwise(2)
+    log = events.select("video", F.col("at_us").alias("at"), rank.alias("rank"), F.col("eid").alias("row"), "kind", "worker", (F.col("at_us") + F.col("hold_s") * SECOND_US).alias("until"), F.lit(False).alias("strike"))
+    tried = attempts.select("video", F.col("ts_us").alias("at"), F.lit(1).alias("rank"), F.col("id").alias("row"), F.lit("attempt").alias("kind"), "worker", F.lit(None).cast("long").alias("until"), is_strike(F.col("outcome")).alias("strike"))
+    holder = F.when(F.col("kind") == "lease", F.struct(F.col("row").alias("lease_id"), F.col("worker").alias("owner"))).when(F.col("kind") == "finish", F.struct(F.lit(None).cast("long").alias("lease_id"), F.lit(None).cast("string").alias("owner")))
+    rows = carried(log.unionByName(tried), ("video",), ("at", "rank", "row"), lease=Fold("last", holder, before=True))
+    mine = F.col("lease.lease_id").isNotNull() & F.when(F.col("kind").isin("lease", "finish"), F.lit(True)).otherwise(F.col("lease.owner").eqNullSafe(F.col("worker")))
+    during = rows.filter(mine).select(F.col("lease.lease_id").alias("lease_id"), "at", "kind", "until", "strike")
+    during = during.withColumn("kind", F.when(F.col("kind") == "lease", "next").otherwise(F.col("kind")))
+    began = rows.filter("kind = 'lease'").select(F.col("row").alias("lease_id"), "video", "worker", F.col("at").alias("start_us"), F.col("until").alias("first_until"))
+    answer = F.when(F.col("kind").isin("finish", "requeue"), F.struct("at", "kind"))
+    facts = during.filter("kind <> 'attempt'").groupBy("lease_id").agg(F.min(answer).alias("answer"), F.max(F.when(F.col("kind") == "extend", F.col("until"))).alias("renewed"), F.count_if(F.col("kind") == "extend").alias("renewals"), F.min(F.when(F.col("kind") == "next", F.col("at"))).alias("next"))
+    leases = began.join(facts, "lease_id", "left").withColumn("until_us", F.greatest("first_until", "renewed")).withColumn("ended_us", F.col("answer.at"))
+    within = during.filter("kind = 'attempt'").join(leases.select("lease_id", F.least("until_us", "ended_us").alias("last")), "lease_id").filter(F.col("at") <= F.col("last"))
+    tries = within.groupBy("lease_id").agg(F.count_if(~F.col("strike")).alias("tries"), F.count_if("strike").alias("strikes"))
+    state = (
+        F.when(F.col("answer.kind") == "finish", "finished").when(F.col("answer.kind") == "requeue", "requeued").when(F.col("next") <= F.col("until_us"), "replaced")
+        .when(F.col("until_us") < as_of_us, "ran_out").otherwise("open")
+    )
+    number = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return leases.join(tries, "lease_id", "left").select("lease_id", "video", "worker", "start_us", "until_us", "ended_us", number("renewals"), number("tries"), number("strikes"), state.alias("state"))
+
+
 def leasable(videos: DataFrame, state: DataFrame, as_of_us: int) -> DataFrame:
     """Accepted videos in no batch, without a final state, whose lease (if any) has run out at ``as_of_us``."""
     out = videos.join(state.withColumnRenamed("video", "id").select("id", "attempts", F.col("fetch_state").alias("_state"), "lease_until_us"), "id", "left")
@@ -71,12 +104,14 @@ def lease_next(free: DataFrame, limit: int, workers: int, as_of_us: int, lease_s
     return out.orderBy("seq")
 
 
-def final_outcomes(videos: DataFrame, attempts: DataFrame, max_attempts: int) -> DataFrame:
+def final_outcomes(videos: DataFrame | None, attempts: DataFrame, max_attempts: int) -> DataFrame:
     """Per video its first final attempt: fetched or unavailable at once, failed at the ``max_attempts``-th try.
 
-    Strikes are retried within a lease and use up no try.
+    Strikes are retried within a lease and use up no try. videos: those that count (None: all that were tried).
     """
-    tries = attempts.filter(~is_strike(F.col("outcome"))).join(videos.select(F.col("id").alias("video")), "video", "left_semi")
+    tries = attempts.filter(~is_strike(F.col("outcome")))
+    if videos is not None:
+        tries = tries.join(videos.select(F.col("id").alias("video")), "video", "left_semi")
     k = F.row_number().over(Window.partitionBy("video").orderBy("ts_us", "id"))
     final = tries.withColumn("tries", k.cast("long")).filter((F.col("outcome") != "failed") | (F.col("tries") >= max_attempts))
     first = final.groupBy("video").agg(F.min(F.struct("tries", "id", "outcome", "bytes", "duration_s")).alias("f"))
@@ -84,7 +119,12 @@ def final_outcomes(videos: DataFrame, attempts: DataFrame, max_attempts: int) ->
 
 
 def queue_progress(videos: DataFrame, state: DataFrame, as_of_us: int) -> DataFrame:
-    """Per state (final, leased or queued; a cooling video counts as leased): videos, bytes, seconds, and how many cool."""
+    """Per state (final, leased or queued; a cooling video counts as leased): videos, bytes, seconds, and how many cool.
+
+    Seconds are the videos' ``duration_s``; where they have a column ``meta`` instead, a JSON text, they are its field of that name
+    (none where it is absent or no whole number)."""
+    if "duration_s" not in videos.columns:
+        videos = videos.withColumn("duration_s", F.coalesce(json_long(F.col("meta"), "$.duration_s"), F.lit(0)))
     rows = videos.filter("status = 'accepted' AND batch IS NULL").join(state.withColumnRenamed("video", "id").select("id", F.col("fetch_state").alias("_state"), F.col("bytes").alias("_bytes"), "lease_owner", "lease_until_us"), "id", "left")
     held = F.coalesce(F.col("lease_until_us") > as_of_us, F.lit(False))
     now = F.coalesce("_state", F.when(held, "leased").otherwise("queued"))

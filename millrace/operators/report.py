@@ -24,19 +24,20 @@ def provider_totals(attempts: DataFrame, ips: DataFrame) -> DataFrame:
 def provider_report(totals: DataFrame, prices: dict[str, float]) -> DataFrame:
     """provider_totals plus rates: strike percentage, MB/s, fetches per label and day, media hours, cost per hour.
 
-    prices: monthly cost of one label by provider; without a price, or without media, the cost is null.
+    prices: monthly cost of one label by provider; without a price, or without media, the cost is null. In order of provider.
     """
     days = F.greatest(F.col("span_s") / 86_400, F.lit(1 / 24))
     price = F.lit(None).cast("double")
     for provider, p in prices.items():
         price = F.when(F.col("provider") == provider, F.lit(float(p))).otherwise(price)
     hours = F.col("duration_s") / 3_600
-    return totals.select(
+    rates = totals.select(
         "provider", "ips", "retired", "tries", "fetched", "strikes", (100 * F.col("strikes") / F.greatest("tries", F.lit(1))).alias("strike_pct"),
         F.coalesce(F.col("bytes") / 1e6 / F.nullif(F.col("held_seconds"), F.lit(0.0)), F.lit(0.0)).alias("mb_per_s"),
         (F.col("fetched") / F.greatest("ips", F.lit(1)) / days).alias("per_ip_day"), hours.alias("hours"),
         F.when(hours > 0, F.col("ips") * price / 30 * days / hours).alias("cost_per_hour"),
     )
+    return rates.orderBy("provider")  # a row per provider
 
 
 def run_counters(attempts: DataFrame) -> DataFrame:

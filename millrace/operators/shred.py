@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from millrace.functions.carried import Fold, carried
 from millrace.functions.scalars import parse_duration, strip, video_id
 
 #: Texts are read as variants, so that a number in the place of a text is told apart from it.
@@ -48,18 +48,22 @@ def id_lines(lines: DataFrame) -> DataFrame:
 
 
 def strict_ids(lines: DataFrame) -> DataFrame:
-    """The same, but the first bad line that is met fails the read with its number."""
+    """The same, but a bad line fails the read; the error names the first one of the list, whichever task meets one."""
     rows = id_lines(lines)
-    told = F.raise_error(F.concat(F.lit("line "), F.col("line_no").cast("string"), F.lit(": not a video id")))
-    return rows.select("line_no", F.when(F.col("ok"), F.col("id")).otherwise(told).alias("id"))
+    first = rows.agg(F.min(F.when(~F.col("ok"), F.col("line_no"))).alias("bad"))  # one row
+    told = F.raise_error(F.concat(F.lit("line "), F.col("bad").cast("string"), F.lit(": not a video id")))
+    return rows.crossJoin(F.broadcast(first)).select("line_no", F.when(F.col("bad").isNull(), F.col("id")).otherwise(told).alias("id"))
 
 
 def proxies(lines: DataFrame) -> DataFrame:
     """lines(line_no, line) -> (line_no, provider, label, error): "<provider> <url>" or "<url>" per line.
 
-    The label is provider/host:port; addresses with a user name get #k, k counting the earlier ones of the same
-    provider, host and port. error: not a proxy URL, a scheme that is not supported, or listed twice; it never
-    holds the line, which may name a password.
+    The label is provider/host:port; addresses with a user name get #k, k - 1 being the number of earlier ones whose label
+    begins with that provider, host and port: also those of a longer port that begins with the same digits. error: not a proxy
+    URL, a scheme that is not supported, or listed twice; it never holds the line, which may name a password.
+
+    Each address counts for its own place and for the places that its port's shorter beginnings name, so labels with an
+    equal beginning meet on an equal key. One place may have any share of the list.
     """
     text = strip(F.col("line"))
     rows = lines.select("line_no", text.alias("text")).filter((F.length("text") > 0) & ~F.col("text").startswith("#"))
@@ -71,12 +75,25 @@ def proxies(lines: DataFrame) -> DataFrame:
     known = F.lit(None).cast("string")
     for name, number in PORTS.items():
         known = F.when(scheme == name, F.lit(str(number))).otherwise(known)
-    rows = rows.select("line_no", "provider", scheme.alias("scheme"), F.concat("provider", F.lit("/"), part("HOST"), F.lit(":"), F.when(port != "", port).otherwise(known)).alias("place"), (F.coalesce(part("USERINFO"), F.lit("")) != "").alias("user"))
+    port = F.when(port != "", port).otherwise(known)
+    host = F.concat("provider", F.lit("/"), part("HOST"), F.lit(":"))
+    rows = rows.select("line_no", "provider", scheme.alias("scheme"), host.alias("host"), port.alias("port"), (F.coalesce(part("USERINFO"), F.lit("")) != "").alias("user"))
+    rows = rows.withColumn("place", F.concat("host", "port"))
     ok = F.col("place").isNotNull() & F.col("scheme").isin(*PORTS)
-    earlier = Window.partitionBy("place", ok).orderBy("line_no")
-    k = F.row_number().over(earlier)
-    label = F.when(ok, F.when(F.col("user"), F.concat("place", F.lit("#"), k.cast("string"))).otherwise(F.col("place")))
-    rows = rows.withColumn("label", label)
-    again = F.row_number().over(Window.partitionBy("label").orderBy("line_no")) > 1
-    error = F.when(F.col("scheme").isNull() | F.col("place").isNull() & F.col("scheme").isin(*PORTS), "not a proxy URL").when(~F.col("scheme").isin(*PORTS), "unsupported scheme").when(again, "listed twice")
-    return rows.select("line_no", "provider", "label", error.alias("error"))
+    begins = F.transform(F.sequence(F.lit(1), F.length("port")), lambda n: F.concat(F.col("host"), F.substring(F.col("port"), F.lit(1), n)))
+    keyed = rows.filter(ok).select("line_no", "place", "user", F.explode(begins).alias("key"))
+    counted = carried(keyed, ("key",), ("line_no",), earlier=Fold("sum", F.lit(1), before=True)).filter("key = place")
+    label = F.when(F.col("user"), F.concat("place", F.lit("#"), (F.col("earlier") + 1).cast("string"))).otherwise(F.col("place"))
+    counted = counted.select("line_no", label.alias("label"))
+    again = carried(counted, ("label",), ("line_no",), times=Fold("sum", F.lit(1), before=True))
+    out = rows.join(again, "line_no", "left")
+    error = F.when(F.col("scheme").isNull() | F.col("place").isNull() & F.col("scheme").isin(*PORTS), "not a proxy URL").when(~F.col("scheme").isin(*PORTS), "unsupported scheme").when(F.col("times") > 0, "listed twice")
+    return out.select("line_no", "provider", "label", error.alias("error"))
+
+
+def strict_proxies(lines: DataFrame) -> DataFrame:
+    """(line_no, provider, label), but a bad line fails the read; the error names the first one of the list and its reason."""
+    rows = proxies(lines)
+    first = rows.agg(F.min(F.when(F.col("error").isNotNull(), F.struct("line_no", "error"))).alias("bad"))  # one row
+    told = F.raise_error(F.concat(F.lit("line "), F.col("bad.line_no").cast("string"), F.lit(": "), F.col("bad.error")))
+    return rows.crossJoin(F.broadcast(first)).select("line_no", "provider", F.when(F.col("bad").isNull(), F.col("label")).otherwise(told).alias("label"))

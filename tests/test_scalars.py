@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-import re
-
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -28,9 +26,11 @@ def fold_duration(s: str):
 
 
 def test_durations(spark):
-    known = {"PT1H2M3S": 3723, "PT45S": 45, "P1DT1S": 86401, "P0D": 0, "PT": 0, "P": 0, "1H": None, "PT5": None, "P1H": None, "P1Y": None, "P5T3S": 53, "P1W": 604800, "": None, "PT1.5S": None}
+    units = {"PT7S": 7, "PT11M": 660, "PT9H4S": 32_404, "P3W": 1_814_400, "P2DT2M": 172_920, "P6D": 518_400, "P8T1M": 4_860, "PT2H2H": 14_400, "P0WT0S": 0}
+    none = ["7S", "PT7", "P7M", "P7S", "PT7D", "P-1D", "PT 7S", " PT7S", "pt7s", "PT7,5S", "P1MT1S"]
+    known = units | dict.fromkeys(none)
     rows = spark.createDataFrame([(k,) for k in known], "s string").select("s", scalars.parse_duration(F.col("s")).alias("v")).collect()
-    assert {r.s: r.v for r in rows} == known
+    assert {r.s: r.v for r in rows} == known == {k: fold_duration(k) for k in known}
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
@@ -50,20 +50,27 @@ def test_ids(spark):
 
 
 def test_failures(spark):
-    known = {
-        "ERROR: a: Sign in to confirm you are not a bot": ("bot_check", None), "HTTP Error 429": ("bot_check", None), "ERROR: x: Video unavailable": ("unavailable", None),
-        "ERROR: ('Unable to connect to proxy')": ("proxy_error", None), "ERROR: x: Conversion failed!": ("failed", None), "": ("failed", "no output"),
-        "Traceback\nKeyError: 'x'\n": ("failed", "KeyError: 'x'"), "ERROR: one\nlast": ("failed", "ERROR: one"), "y" * 400: ("failed", "y" * 300),
-    }
+    of = {"proxy_error": scalars.PROXY_TEXTS, "bot_check": scalars.BOT_TEXTS, "unavailable": scalars.GONE_TEXTS}
+    known = {f"step 3 of 9\n{t.title()} ({c})": (c, f"{t.title()} ({c})") for c, texts in of.items() for t in texts}
+    known |= {f"{scalars.GONE_TEXTS[2]} {scalars.BOT_TEXTS[3]}": ("bot_check", None), f"{scalars.BOT_TEXTS[4]}; {scalars.PROXY_TEXTS[4]}": ("proxy_error", None)}
+    known |= {"  \n\t": ("failed", "no output"), "ERROR: disk is full\nbye": ("failed", "ERROR: disk is full"), "ERROR: a\nERROR: b\n": ("failed", "ERROR: b"), "error: lower case\nlast": ("failed", "last"), "q" * 301: ("failed", "q" * 300)}
     rows = spark.createDataFrame([(k,) for k in known], "s string").select("s", scalars.failure_class(F.col("s")).alias("c"), scalars.failure_reason(F.col("s")).alias("r")).collect()
     assert {r.s: (r.c, r.r) for r in rows} == {k: (c, k if r is None else r) for k, (c, r) in known.items()}
 
 
 def test_redaction(spark):
-    rows = [("via http://u:s3cret@gw:7000 failed: s3cret", "http://u:s3cret@gw:7000", "acme/gw:7000#1"), ("plain", "socks5://10.0.0.1:1080", "x")]
+    rows = [
+        ("tried https://seat-9:v3lvet@exit.lattice.test:715 twice (v3lvet)", "https://seat-9:v3lvet@exit.lattice.test:715", "lattice/9"), ("nothing to hide", "http://192.0.2.44:8118", "y"),
+        ("no password: seat-9", "https://seat-9@exit.lattice.test:715", "z"), ("empty: https://seat-9:@e.test:1", "https://seat-9:@e.test:1", "e"),
+    ]
     got = spark.createDataFrame(rows, "t string, u string, l string").select(scalars.redact(F.col("t"), F.col("u"), F.col("l")).alias("t")).collect()
-    assert [r.t for r in got] == ["via acme/gw:7000#1 failed: ***", "plain"]
-    assert not re.search("s3cret", got[0].t)
+    assert [r.t for r in got] == ["tried lattice/9 twice (***)", "nothing to hide", "no password: seat-9", "empty: e"]
+
+
+def test_numbers_in_json(spark):
+    known = {'{"a": {"n": 12}}': 12, '{"a": {"n": "34"}}': 34, '{"a": {"n": "x"}}': None, '{"a": {}}': None, '{"a": ': None, "7": None, '{"a": {"n": -5}}': -5}
+    rows = spark.createDataFrame([(k,) for k in known], "s string").select("s", scalars.json_long(F.col("s"), "$.a.n").alias("v")).collect()
+    assert {r.s: r.v for r in rows} == known
 
 
 def test_names(spark):
