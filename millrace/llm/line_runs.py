@@ -2,11 +2,12 @@
 
 The store is a folder of runs. Each run is a table bucketed and sorted by line hash: (h1, h2, n, keeper), where n counts
 the documents of its batches that hold the line. A new batch is merge-anti-joined with the runs: a line that no run
-holds enters with its keeper, the largest document id of the batch that holds it; a line that the runs hold has its
-keeper already and adds its count, and a keeper only if that is larger, which never happens where batches come newest
-(largest ids) first. When a level holds ``fanout`` runs they are merged into one run of the next level, so a store of N
-batches keeps O(fanout * log N) runs. All runs of a store have the same buckets, so neither the join nor a merge moves
-their rows. A manifest table names the live runs; it is written last, so a broken run is never read.
+holds is new and enters with its keeper, the largest document id of the batch that holds it; a line that the runs hold
+only adds its count. Where batches come newest (largest ids) first, the join alone so decides who keeps a line: each line has
+one keeper in all runs. A store that takes batches in any order also enters a larger keeper. When a level holds ``fanout``
+runs they are merged into one run of the next level, so a store of N batches keeps O(fanout * log N) runs. All runs of a store
+have the same buckets, so neither the join nor a merge moves their rows. A manifest table names the live runs; it is written
+last, so a broken run is never read.
 """
 
 from __future__ import annotations
@@ -74,10 +75,11 @@ class LineRuns:
     """The store of runs in one folder. ``buckets`` (default: the shuffle partitions) is fixed when it is made.
 
     All runs are partitions of one table bucketed by line hash, so that several can be read as one without a shuffle.
+    ``newest_first``: each batch has smaller ids than those before it.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, *, fanout: int = 3, buckets: int | None = None, new: bool = False):
-        self.spark, self.folder, self.fanout = spark, folder, fanout
+    def __init__(self, spark: SparkSession, folder: str, *, fanout: int = 3, buckets: int | None = None, new: bool = False, newest_first: bool = False):
+        self.spark, self.folder, self.fanout, self.newest_first = spark, folder, fanout, newest_first
         self.version, self.runs, self.next = 0, [], 0
         self.buckets, self.name = buckets or shuffle_partitions(spark), f"line_runs_{uuid.uuid4().hex}"
         if not new:
@@ -85,9 +87,9 @@ class LineRuns:
             rows = rows.filter(F.col("version") == rows.agg(F.max("version")).first()[0]).collect()  # a few rows: the live runs
             self.version, self.buckets, self.runs = rows[0].version, rows[0].buckets, [(r.level, r.run) for r in rows]
             self.next = max(r.next for r in rows)
-            key = ", ".join(KEY)
+            key, place = ", ".join(KEY), folder.replace("\\", "\\\\").replace("'", "\\'")
             spark.sql(
-                f"CREATE TABLE {self.name} ({RUN}, run INT) USING parquet PARTITIONED BY (run) CLUSTERED BY ({key}) SORTED BY ({key}) INTO {self.buckets} BUCKETS LOCATION '{folder}/runs'"
+                f"CREATE TABLE {self.name} ({RUN}, run INT) USING parquet PARTITIONED BY (run) CLUSTERED BY ({key}) SORTED BY ({key}) INTO {self.buckets} BUCKETS LOCATION '{place}/runs'"
             )
             spark.catalog.recoverPartitions(self.name)
 
@@ -107,21 +109,25 @@ class LineRuns:
         self.spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.folder}/manifest")
 
     def _merge(self, runs: list[int]) -> DataFrame:
-        return self._read(runs).groupBy(*KEY).agg(F.sum("n").alias("n"), F.max("keeper").alias("keeper"))
+        keeper = F.min("keeper") if self.newest_first else F.max("keeper")  # newest first: there is but one
+        return self._read(runs).groupBy(*KEY).agg(F.sum("n").alias("n"), keeper.alias("keeper"))
+
+    def _seen(self) -> DataFrame:
+        """(h1, h2, was): the lines of all live runs with their keeper."""
+        kept = self._read([r for _, r in self.runs]).filter("keeper IS NOT NULL")
+        return kept.select(*KEY, F.col("keeper").alias("was")) if self.newest_first else kept.groupBy(*KEY).agg(F.max("keeper").alias("was"))
 
     def merged(self) -> DataFrame:
         """All live runs as one table, a row per line hash."""
         return self._merge([r for _, r in self.runs]) if self.runs else self.spark.createDataFrame([], RUN)
 
     def add(self, batch: DataFrame) -> None:
-        """Add a batch of postings: new lines enter with their keeper, lines that the runs hold are counted, and get
-        another keeper only where the batch has a larger id."""
+        """Add a batch of postings: new lines enter with their keeper; lines that the runs hold are counted, and get another
+        keeper only in a store of any order, where the batch has a larger id. The batch is written once."""
         own = batch.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper"))
         if self.runs:
-            own = self._read([self._write(own)])
-            seen = self._read([r for _, r in self.runs]).filter("keeper IS NOT NULL").groupBy(*KEY).agg(F.max("keeper").alias("was"))
-            known = own.join(seen, KEY).select(*KEY, "n", F.when(F.col("keeper") > F.col("was"), F.col("keeper")).alias("keeper"))
-            own = own.join(seen, KEY, "left_anti").union(known)
+            new = F.col("was").isNull() if self.newest_first else F.col("was").isNull() | (F.col("keeper") > F.col("was"))
+            own = own.join(self._seen(), KEY, "left").select(*KEY, "n", F.when(new, F.col("keeper")).alias("keeper"))
         self.runs.append((0, self._write(own)))
         level = 0
         while len(full := [r for r in self.runs if r[0] == level]) >= self.fanout:
@@ -210,14 +216,16 @@ def dedup(
     when they are joined back; the list of dropped lines of a row is bounded by its own lines.
     """
     spark = docs.sparkSession
-    store = LineRuns(spark, folder or fresh_dir(spark, "line-store"), fanout=fanout, new=True)
     number = batch_number(docs, id_col, batches)
     held_in = fresh_dir(spark, "line-postings")
     postings(docs, id_col=id_col, text_col=text_col, least=least, batch=number).write.partitionBy("batch").parquet(held_in)
     held = spark.read.schema("h1 long, h2 long, doc_id long, row long, batch int").parquet(held_in)
-    for k in reversed(range(batches)):
-        store.add(held.filter(F.col("batch") == k))
-    repeated = stash(store.repeated(min_docs), "repeated-lines")
-    store.forget()
+    store = LineRuns(spark, folder or fresh_dir(spark, "line-store"), fanout=fanout, new=True, newest_first=True)
+    try:
+        for k in reversed(range(batches)):
+            store.add(held.filter(F.col("batch") == k))
+        repeated = stash(store.repeated(min_docs), "repeated-lines")
+    finally:
+        store.forget()
     dropped = stash(lines_to_drop(held.drop("batch"), repeated), "dropped-lines")
     return drop_lines(docs, dropped, id_col=id_col, text_col=text_col, least=least, keep_text=keep_text)

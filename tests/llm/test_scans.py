@@ -104,6 +104,29 @@ def test_runs_are_levelled_and_reread(spark):
     assert {r.keeper for r in again.repeated(5).collect()} == {40, 41, 42}
 
 
+def test_the_join_with_the_runs_decides_who_keeps_a_line(spark, monkeypatch):
+    docs = [(i, f"the same line in each of them\nand line {i // 9} in nine of them") for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    run = lambda: sorted((r.doc_id, r.n_lines, r.n_dropped, r.kept_text) for r in line_runs.dedup(df, least=15, min_docs=4).collect())
+    assert run() == brute_lines(docs, 15, 4)
+    seen = line_runs.LineRuns._seen
+    monkeypatch.setattr(line_runs.LineRuns, "_seen", lambda self: seen(self).filter("false"))
+    assert run() != brute_lines(docs, 15, 4)
+
+
+def test_a_store_in_an_odd_folder_is_newest_first(spark):
+    folder = fresh_dir(spark, "it's a store")
+    store = line_runs.LineRuns(spark, folder, fanout=2, new=True, newest_first=True)
+    for b in reversed(range(5)):
+        docs = spark.createDataFrame([(b * 10 + i, f"line number {i} that is repeated") for i in range(3)], "doc_id long, text string")
+        store.add(line_runs.postings(docs, id_col="doc_id", text_col="text", least=10))
+    again = line_runs.LineRuns(spark, folder, fanout=2, newest_first=True)
+    assert {(r.keeper, r.n) for r in again.repeated(5).collect()} == {(40, 5), (41, 5), (42, 5)}
+    assert again._read([r for _, r in again.runs]).filter("keeper IS NOT NULL").count() == 3
+    again.forget()
+    store.forget()
+
+
 def test_pseudonyms(spark):
     text = "Call +1 (632) 555-4827; ann.b@mail.example, ANN.B@mail.example 4337166598464399 4337-1665-9846-4399 17.252.227.210. 2024-02-29 02/29/2024 123-45-6789 not 4337166598464398 2023-02-29 999.1.1.1"
     rows = spark.createDataFrame([(1, text), (2, text + " é"), (3, None), (4, ""), (5, "plain")], "doc_id long, text string")
