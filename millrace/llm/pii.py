@@ -2,7 +2,8 @@
 
 E-mail addresses, dates, phone, social-security, card and bank account numbers and IPv4 addresses are found by one
 pattern and validated. Each valid value goes through a keyed Feistel network over its own alphabet and length (dates:
-over the 146,097 days of their 400-year cycle; social-security numbers: over the numbers that can be issued), so it
+over the 146,097 days of their 400-year cycle; social-security numbers: over the numbers that can be issued; numbers of ten
+digits: those that can be dialled in North America among each other, and the others), so it
 becomes another valid value of the same format, and equal values become equal pseudonyms in every document, whatever
 their punctuation. Without the key they cannot be turned back.
 """
@@ -119,6 +120,26 @@ def feistel_ssn(digits: Column, key: str) -> Column:
     return feistel_pair(high, serial - 1, AREAS * GROUPS, SERIALS, key, "ssn", written)
 
 
+def feistel_ten(digits: Column, key: str) -> Column:
+    """A keyed permutation of the numbers of ten digits: those whose area and exchange can be dialled stay such numbers."""
+    area, exchange, line = (F.substring(digits, at, n).cast("int") for at, n in ((1, 3), (4, 3), (7, 4)))
+    dialled = (area >= 200) & (exchange >= 200)
+    other = F.when(area < 200, area * 1000 + exchange).otherwise(200_000 + (area - 200) * 200 + exchange)
+
+    def written(area: Column, exchange: Column) -> Callable[[Column], Column]:
+        return lambda s: F.concat(*[F.lpad(x(s).cast("string"), n, "0") for x, n in ((area, 3), (exchange, 3), (lambda s: s["low"], 4))])
+
+    high = lambda s: s["high"]
+    yes = written(lambda s: F.floor(high(s) / 800) + 200, lambda s: F.pmod(high(s), F.lit(800)) + 200)
+    no = written(
+        lambda s: F.when(high(s) < 200_000, F.floor(high(s) / 1000)).otherwise(F.floor((high(s) - 200_000) / 200) + 200),
+        lambda s: F.when(high(s) < 200_000, F.pmod(high(s), F.lit(1000))).otherwise(F.pmod(high(s), F.lit(200))),
+    )
+    return F.when(dialled, feistel_pair((area - 200) * 800 + exchange - 200, line, 640_000, 10_000, key, "dialled", yes)).otherwise(
+        feistel_pair(other, line, 360_000, 10_000, key, "ten", no)
+    )
+
+
 def luhn_sum(digits: Column) -> Column:
     def of(digits: Column) -> Column:
         size = F.length(digits)
@@ -203,7 +224,9 @@ def pseudonym(m: Column, kind: Column, key: str) -> Column:
 
     date = let(_day(m), lambda day: let(feistel_day(F.pmod(day, F.lit(CYCLE)), key) + F.floor(day / CYCLE).cast("int") * CYCLE, dated))
     country = F.when(m.startswith("+"), F.regexp_extract(m, rf"^\+({COUNTRY})", 1)).otherwise(F.lit(""))
-    phone = _refill(m, F.concat(country, feistel(F.substr(digits, F.length(country) + 1), DIGITS, key, "phone")), "0-9")
+    national = F.substr(digits, F.length(country) + 1)
+    phone = let(national, lambda n: F.concat(country, F.when(F.length(n) == 10, feistel_ten(n, key)).otherwise(feistel(n, DIGITS, key, "phone"))))
+    phone = _refill(m, phone, "0-9")
     payload = feistel(F.substr(digits, F.lit(1), F.length(digits) - 1), DIGITS, key, "card")
     card = let(payload, lambda p: F.concat(p, F.pmod(10 - luhn_sum(F.concat(p, F.lit("0"))) % 10, F.lit(10)).cast("string")))
     packed = F.array_join(F.transform(F.split(m, r"\."), lambda o: F.lpad(F.lower(F.hex(o.cast("int"))), 2, "0")), "")
