@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import byte_cnn, line_runs, mixing, ngram_join, pieces
 from millrace.llm.common import node_id, stash, table
-from millrace.llm.queries import piece_model
+from millrace.llm.queries import WANTED, piece_model
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -58,7 +58,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null source or language is a value of its own. Whether a document is drawn follows from its id, so rows with one
     id and one probability are drawn or left together; documents without an id draw alike.
     """
-    return mixing.mix(docs.select(*COLUMNS)).filter("drawn").select(*COLUMNS)
+    return mixing.mix(docs.select(*COLUMNS), share=WANTED).filter("drawn").select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -105,12 +105,17 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model, keep_text=False)
 
 
+#: The share of all tokens that a mixture is to have.
+WANTED = 0.5
+
+
 @register("op10_mixing")
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sources and languages to their token shares to the power 0.7, topics as they are; every document with its draw."""
+    """Sources and languages to their token shares to the power 0.7, topics as they are; half of all tokens is wanted. Every
+    document with its draw."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    out = mixing.mix(docs, keep_text=False)
-    return out.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("prob", 6).alias("prob"), F.round("draw", 6).alias("draw"), "drawn", F.round("margin_error", 6).alias("margin_error"))
+    out = mixing.mix(docs, keep_text=False, share=WANTED)
+    return out.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("prob", 6).alias("prob"), F.round("draw", 6).alias("draw"), "drawn", F.round("margin_error", 6).alias("margin_error"), F.round("drawn_error", 6).alias("drawn_error"))
 
 
 #: The vocabulary file; the environment variable names another one.

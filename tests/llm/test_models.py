@@ -170,6 +170,32 @@ def test_mixing_meets_the_targets(spark):
     assert out.prob.max() == 1.0 and (out.drawn == (out.draw < out.prob)).all() and 0 <= out.draw.min()
 
 
+def test_a_rare_cell_does_not_say_how_much_is_drawn(spark):
+    rows = [(i, "w " * 50, "en", f"s{i % 2}") for i in range(2000)] + [(2000, "w", "en", "rare")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    for share in (0.1, 0.5, 0.97, 1.0):
+        out = mixing.mix(docs, topic=F.lit("t"), share=share).toPandas()
+        assert abs((out.prob * out.n_tokens).sum() / out.n_tokens.sum() - share) < 1e-3
+        assert out.prob[2000] == 1.0 and abs(out[out.drawn].n_tokens.sum() / out.n_tokens.sum() - share) < 0.04
+        drawn = (out.prob * out.n_tokens).groupby(out.source).sum() / (out.prob * out.n_tokens).sum()
+        tokens = out.groupby("source").n_tokens.sum() ** 0.7
+        assert abs((drawn / (tokens / tokens.sum()) - 1).abs().max() - out.drawn_error[0]) < 1e-6
+
+
+def test_a_share_of_many_cells(spark):
+    """Where no probability reaches 1 the margins are exact; else the error that is told is that of the tokens to be drawn."""
+    rng = np.random.default_rng(9)
+    rows = [(int(i), "w " * int(rng.integers(1, 40)), ("en", "de", "fr")[int(rng.integers(3))], f"s{min(int(rng.integers(0, 9)), 3)}") for i in range(2500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    topic = F.when(F.col("doc_id") % 2 == 0, "even").otherwise("odd")
+    low, high = (mixing.mix(docs, topic=topic, exponents={"source": 0.2, "lang": 0.5, "topic": 1.0}, share=s).toPandas() for s in (0.2, 0.9))
+    assert low.prob.max() < 1 and low.drawn_error[0] < 1e-6 and high.prob.max() == 1.0 and high.drawn_error[0] > 0.01
+    for out, share in ((low, 0.2), (high, 0.9)):
+        assert abs((out.prob * out.n_tokens).sum() / out.n_tokens.sum() - share) < 1e-6
+        rate = (out.weight / out.n_tokens)[out.prob < 1]
+        assert np.allclose(out.prob[out.prob < 1] / rate, (out.prob[out.prob < 1] / rate).iloc[0])
+
+
 def test_both_ways_to_rake_agree(spark):
     cells = spark.createDataFrame([("a", "x", "t", 10), ("a", "y", "t", 30), ("b", "x", "t", 5), ("b", "y", "u", 1)], "source string, lang string, topic string, tokens long")
     targets = mixing.power_targets(cells, {"source": 0.5, "lang": 0.3, "topic": 1.0})
