@@ -26,7 +26,7 @@ _BLANK = re.compile(r"[ \t\n\r]+")
 #: Characters of a text that are in work at once, where it has white space to be cut at.
 CHUNK = 1 << 18
 #: Words remembered by a process, and words encoded in one call.
-REMEMBERED, CALL = 400_000, 4096
+REMEMBERED, CALL = 1_000_000, 4096
 #: Marks a word that the library has to encode by itself; no plain word has it.
 _ODD = "\x00"
 
@@ -81,19 +81,30 @@ class Encoder:
     def ids(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return [x for t in texts for x in self._whole([t])]
-        out = []
-        for text in texts:
-            parts = []
+        out: list[list[bytes]] = [[] for _ in texts]
+        waiting, size = [], 0
+        for i, text in enumerate(texts):
             for chunk in _chunks(text):
-                words = self._words(chunk)
-                if new := [w for w in dict.fromkeys(words) if w not in self.known]:
-                    if len(self.known) + len(new) > REMEMBERED:
-                        self.known.clear()
-                        new = list(dict.fromkeys(words))
-                    self._learn(new)
-                parts.append(b"".join([self.known[w] for w in words]))
-            out.append(b"".join(parts))
-        return out
+                waiting.append((i, self._words(chunk)))
+                size += len(chunk)
+                if size >= CHUNK:
+                    self._join(waiting, out)
+                    waiting, size = [], 0
+        self._join(waiting, out)
+        return [b"".join(parts) for parts in out]
+
+    def _join(self, waiting: list[tuple[int, list[str]]], out: list[list[bytes]]) -> None:
+        """Put the ids of words together, after the new ones among them have been learnt in one go."""
+        met = set().union(*[words for _, words in waiting])
+        new = met.difference(self.known)
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+            new = met
+        if new:
+            self._learn(list(new))
+        known = self.known
+        for i, words in waiting:
+            out[i].append(b"".join([known[w] for w in words]))
 
 
 def _chunks(text: str) -> Iterator[str]:
