@@ -173,7 +173,7 @@ def test_pipeline_stages(spark, sf_dir):
 def test_pipeline_runs_and_is_registered(spark, sf_dir):
     import __spark_entry__ as entry
 
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in queries.QUERIES}
     assert line_runs and "pipeline" in entry.queries()
     out = entry.queries()["pipeline"](spark, sf_dir)
     assert out.count() > 0 and {"doc_id", "ids", "n_pieces"} <= set(out.columns)
