@@ -2,7 +2,7 @@
 
 A text gets a blank in front and every blank becomes the marker; no piece of the vocabulary holds the marker
 after another character, so the best path falls apart at the start of each run of markers. Each distinct word (a
-run of markers and what follows) is segmented once per batch, all words of a batch side by side in numpy; a text is
+run of markers and what follows) that a process does not remember is segmented, many side by side in numpy; a text is
 then the concatenation of its words' pieces. Decoding joins pieces, reads byte pieces as UTF-8 and turns markers
 back into blanks. The vocabulary comes from a model file and is never trained here.
 """
@@ -26,9 +26,8 @@ _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 #: A word longer than this is segmented by itself, so that one long word does not widen the whole batch.
 LONG_WORD = 64
-#: Words segmented side by side, and distinct words kept per task between batches; when full, the store starts anew.
-#: Results do not depend on either.
-SIDE_BY_SIDE, KEEP_WORDS = 1024, 50_000
+#: Words segmented side by side, and distinct words of a generation that a process remembers. Results do not depend on either.
+SIDE_BY_SIDE, KEEP_WORDS = 8192, 300_000
 LOW = -1e30
 
 
@@ -88,6 +87,23 @@ class Trie:
         return cls(array(base, 0), array(check, -1), array(value, -1))
 
 
+class Words:
+    """Ids of words met before, as bytes, in two generations: a full one becomes the older, whose words go unless met again."""
+
+    def __init__(self) -> None:
+        self.young: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def missing(self, words: set[str]) -> set[str]:
+        """Those of the words that are not remembered; the others are in the young generation from now on."""
+        if len(self.young) > KEEP_WORDS:
+            self.older, self.young = self.young, {}
+        absent = words.difference(self.young)
+        again = absent.intersection(self.older)
+        self.young.update({w: self.older[w] for w in again})
+        return absent - again
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     pieces: list[str]
@@ -101,7 +117,7 @@ class Vocabulary:
     splits: bool
     #: What each piece stands for in the decoded bytes.
     written: list[bytes]
-    store: dict[str, np.ndarray] = field(default_factory=dict)
+    store: Words = field(default_factory=Words)
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, bytes | int]]:
@@ -220,16 +236,21 @@ def viterbi(words: list[str], v: Vocabulary) -> list[np.ndarray]:
             better = score > best[r, start + n]
             r = r[better]
             best[r, start + n], back[r, start + n], piece[r, start + n] = score[better], start, -1
-    out = []
-    back_rows, piece_rows = back.tolist(), piece.tolist()
-    for k, text in enumerate(raw):
-        at, ids = len(text), []
-        while at:
-            start, i = back_rows[k][at], piece_rows[k][at]
-            ids += [i] if i >= 0 else _fallback(text[start:at], v)
-            at = start
-        out.append(np.array(ids[::-1], np.int32))
-    return out
+    # All words are walked back together; what a step took is kept as (word, piece or -1, start, end).
+    rows, at, steps = np.arange(len(raw)), length, []
+    while len(rows := rows[(alive := at > 0)]):
+        at = at[alive]
+        steps.append((rows, piece[rows, at], back[rows, at], at))
+        at = steps[-1][2]
+    of, ids, start, end = (np.concatenate([s[i] for s in steps[::-1]]) if steps else np.zeros(0, np.int64) for i in range(4))
+    order = np.argsort(of, kind="stable")
+    of, ids, start, end = of[order], ids[order], start[order], end[order]
+    flat, stops = ids.astype(np.int32), np.cumsum(np.bincount(of, minlength=len(raw))).tolist()
+    parts = [flat[a:b] for a, b in zip([0, *stops], stops, strict=False)]
+    for k in np.unique(of[ids < 0]).tolist():
+        own = range(stops[k - 1] if k else 0, stops[k])
+        parts[k] = np.array([i for p in own for i in ([flat[p]] if flat[p] >= 0 else _fallback(raw[k][start[p] : end[p]], v)[::-1])], np.int32)
+    return parts
 
 
 def _fallback(char: bytes, v: Vocabulary) -> list[int]:
@@ -244,16 +265,14 @@ def encode_batch(texts: list[str], v: Vocabulary) -> list[np.ndarray]:
     for text in texts:
         marked = (MARK + text.replace(" ", MARK)) if text else ""
         split.append(_WORD.findall(marked) if v.splits else [marked] if text else [])
-    if len(v.store) > KEEP_WORDS:
-        v.store.clear()
-    new = list({w for words in split for w in words if w not in v.store})
-    short = sorted((w for w in new if len(w) <= LONG_WORD), key=len)
+    new = v.store.missing(set().union(*split))
+    own = {w: viterbi_long(w, v).tobytes() for w in new if len(w) > LONG_WORD}
+    short = sorted(new.difference(own), key=len)
+    known = v.store.young
     for i in range(0, len(short), SIDE_BY_SIDE):
         part = short[i : i + SIDE_BY_SIDE]
-        v.store.update(zip(part, viterbi(part, v), strict=True))
-    own = {w: viterbi_long(w, v) for w in new if len(w) > LONG_WORD}
-    none = np.zeros(0, np.int32)
-    return [np.concatenate([own[w] if w in own else v.store[w] for w in words]) if words else none for words in split]
+        known.update(zip(part, [x.tobytes() for x in viterbi(part, v)], strict=True))
+    return [np.frombuffer(b"".join([own[w] if w in own else known[w] for w in words]), np.int32) for words in split]
 
 
 def viterbi_long(word: str, v: Vocabulary) -> np.ndarray:

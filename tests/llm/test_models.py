@@ -131,6 +131,20 @@ def test_best_path_equals_every_path(vocabulary):
             assert abs(got - best(word)) < 1e-9
 
 
+def test_remembered_words_change_nothing(vocabulary, monkeypatch):
+    texts = [*ODD, "one two three two one", "▁marks ▁▁ " + "é🙂日" * 9, " ".join(f"w{i * i}" for i in range(300))]
+    whole = [x.tolist() for x in pieces.encode_batch(texts, vocabulary)]
+    monkeypatch.setattr(pieces, "KEEP_WORDS", 3)
+    monkeypatch.setattr(pieces, "SIDE_BY_SIDE", 5)
+    vocabulary.store.__init__()
+    for _ in range(3):
+        for text, ids in zip(texts, whole, strict=True):
+            assert pieces.encode_batch([text], vocabulary)[0].tolist() == ids
+            marked = (pieces.MARK + text.replace(" ", pieces.MARK)) if text else ""
+            assert pieces.viterbi_long(marked, vocabulary).tolist() == ids
+    assert len(vocabulary.store.young) <= 3 + 301 and vocabulary.store.older
+
+
 def test_trie_holds_its_keys(vocabulary):
     t = vocabulary.trie
 
