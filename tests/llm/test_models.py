@@ -68,6 +68,50 @@ def test_training_reads_whole_texts(spark):
     assert all((byte_cnn.probability(t.encode(), model) >= 0.5) == bool(q) for _, t, q in docs)
 
 
+def test_training_equals_plain_descent_on_numerical_gradients():
+    """Adam in double precision, its gradients from differences of a loss that is written out position by position."""
+    p = byte_cnn.Params(filters=2, width=2, half=3, epochs=3, batch=2)
+    texts, labels = [b"abcabdba", b"", b"c", b"dddcba"], np.array([1, 0, 0, 1], np.float32)
+
+    def loss(w, rows):
+        total = 0.0
+        for r in rows:
+            data = texts[r]
+            at = [sum(w["table"][j, data[i + j]] for j in range(p.width) if i + j < len(data)) for i in range(len(data))]
+            starts = range(0, max(1, -(-len(data) // p.half) - 1) * p.half, p.half) if data else []
+            chunks = [np.maximum(np.max(at[s : s + 2 * p.half], axis=0) + w["bias"], 0) for s in starts]
+            z = float(np.mean(chunks, axis=0) @ w["out"] if chunks else 0) + w["shift"][0]
+            total += np.log1p(np.exp(-z if labels[r] else z)) / len(rows)
+        return total
+
+    rng = np.random.default_rng(p.seed)
+    w = {"table": rng.normal(0, 0.3, (p.width, 256, p.filters)), "bias": np.zeros(p.filters), "out": rng.normal(0, 0.3, p.filters), "shift": np.zeros(1)}
+    m1, m2 = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
+    moved = {k: v.copy() for k, v in w.items()}
+    t = 0
+    for _ in range(p.epochs):
+        for rows in np.array_split(rng.permutation(len(texts)), 2):
+            grad = {k: p.decay * v for k, v in w.items()}
+            for k, v in w.items():
+                for i in np.ndindex(v.shape):
+                    if k == "table" and i[1] not in b"abcd":
+                        continue  # no text holds that byte
+                    was, sides = v[i], []
+                    for step in (1e-6, -1e-6):
+                        v[i] = was + step
+                        sides.append(loss(w, rows))
+                    v[i] = was
+                    grad[k][i] += (sides[0] - sides[1]) / 2e-6
+            t += 1
+            for k, g in grad.items():
+                m1[k], m2[k] = 0.9 * m1[k] + 0.1 * g, 0.999 * m2[k] + 0.001 * g * g
+                w[k] -= p.rate * (m1[k] / (1 - 0.9**t)) / (np.sqrt(m2[k] / (1 - 0.999**t)) + 1e-8)
+    got = byte_cnn.train([[t] for t in texts], labels, p)
+    for k, mine in (("table", got.table), ("bias", got.bias), ("out", got.out), ("shift", np.array([got.shift]))):
+        assert np.abs(w[k] - moved[k]).max() > p.rate
+        np.testing.assert_allclose(mine, w[k], atol=0.02 * p.rate)
+
+
 def test_training_features_equal_scoring_features():
     p = byte_cnn.Params(filters=3, width=4, half=8)
     rng = np.random.default_rng(1)
