@@ -27,14 +27,16 @@ def components(links: DataFrame) -> DataFrame:
     edges = edges.coalesce(tasks)
     labels = cut(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("label")).coalesce(tasks))
     for _ in range(MAX_ROUNDS):
-        near = edges.join(labels.select(F.col("id").alias("b"), "label"), "b").coalesce(tasks).groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
-        seen = labels.join(near, "id").coalesce(tasks)
-        offers = seen.select("id", F.least("label", "near").alias("offer"))
-        offers = offers.union(seen.filter("near < label").select(F.col("label").alias("id"), F.col("near").alias("offer")))
-        ahead = labels.select(F.col("id").alias("label"), F.col("label").alias("offer")).filter("offer < label")
-        offers = offers.union(labels.join(ahead, "label").select("id", "offer").coalesce(tasks))
-        best = offers.groupBy("id").agg(F.min("offer").alias("offer"))
-        new = cut(labels.join(best, "id").select("id", F.least("label", "offer").alias("label"), (F.col("offer") < F.col("label")).alias("moved")).coalesce(tasks))
+        # One join and two aggregates a round: the driver plans each anew, and large plans are what fills its memory.
+        steps = edges.union(labels.filter("label < id"))
+        near = steps.join(labels.select(F.col("id").alias("b"), "label"), "b").coalesce(tasks)
+        near = near.select(F.col("a").alias("id"), F.col("label").alias("near"), F.lit(None).cast("long").alias("own"))
+        seen = near.union(labels.select("id", "label", "label")).coalesce(tasks).groupBy("id").agg(F.min("near").alias("near"), F.max("own").alias("own"))
+        none = F.lit(None).cast("long")
+        offers = F.array(F.struct("id", F.col("near").alias("offer"), "own"), F.when(F.col("near") < F.col("own"), F.struct(F.col("own").alias("id"), F.col("near").alias("offer"), none.alias("own"))))
+        offers = seen.select(F.explode(offers).alias("to")).filter("to IS NOT NULL").select("to.*").coalesce(tasks)
+        new = offers.groupBy("id").agg(F.min("offer").alias("label"), F.max("own").alias("own"))
+        new = cut(new.select("id", "label", (F.col("label") < F.col("own")).alias("moved")).coalesce(tasks))
         labels = new.select("id", "label")
         if not new.filter("moved").head(1):
             return labels.select("id", F.col("label").alias("component"))

@@ -333,3 +333,17 @@ def test_tokenizer_file_is_a_setting(tmp_path, monkeypatch):
     path.write_bytes(json.dumps({"a": 1}).encode())
     monkeypatch.setenv("MILLRACE_WORD_TOKENIZER", str(path))
     assert queries.word_tokenizer() == path.read_bytes()
+
+
+def test_rounds_of_components_run_few_stages(spark):
+    """Each stage is planned by the driver, whose memory the pipeline once exceeded by its rounds."""
+    from millrace.llm.components import components
+
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 103), (103, 101), (5, 5), (None, 7)], "a long, b long")
+    spark.sparkContext.setJobGroup("components", "")
+    found = {r.id: r.component for r in components(links).collect()}
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("components") for s in tracker.getJobInfo(j).stageIds}
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found == {**dict.fromkeys(range(41), 0), 100: 100, 103: 100, 101: 100}
+    assert len(stages) < 90
