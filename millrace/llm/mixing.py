@@ -145,7 +145,7 @@ def mix(
 
     targets: per margin (source, lang, topic) a table (value, target) with shares that sum to 1; without them the
     token shares to the ``exponents`` (default 0.7, 0.7 and 1). topic: a column; without it the clusters that
-    ``topics`` learns from a bounded sample of the documents. n_tokens: words. weight: the document's share of its
+    ``topics`` learns from all documents. n_tokens: words. weight: the document's share of its
     cell's raked weight. draw: a number in 0..1 fixed by seed and id; repeated ids draw alike. margin_error: see
     ``rake``; above ``TOLERANCE`` the targets were not met. share: how much of all tokens is to be drawn, see ``calibrate``, which
     also tells about drawn_error. Null source, language or text count as the value

@@ -1,12 +1,13 @@
-"""Topics of documents: k-means over hashed words, fitted on a bounded sample and applied to every whole text.
+"""Topics of documents: k-means over hashed words of all documents.
 
-A text's vector holds a damped count of each hashed word times the word's rarity in the sample, at length 1. The mean of
-the sample's vectors of its language is taken off, so that topics tell apart what is written about, not the language.
+A text's vector holds a damped count of each hashed word times the word's rarity, at length 1. The mean of the vectors of
+its language is taken off, so that topics tell apart what is written about, not the language. Rarity, means and centres
+are sums over every text; a bounded sample only says where the centres start.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,18 +15,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import arrow_fields, bounded_batches
+from millrace.llm.common import arrow_fields, bounded_batches, stash
 from millrace.llm.shingles import word_hashes
 
 EMPTY = "empty"
+#: The fit counts components in steps of 1 / SCALE. Vectors without their mean and centres have a length of 2 at most, so
+#: that products stay near 2**22, and sums of BLOCK rows below 2**23: whole numbers that float32 holds exactly, in any order.
+SCALE, BLOCK = 1024, 4096
 
 
 @dataclass(frozen=True)
 class Params:
     topics: int = 8
     buckets: int = 1024
-    #: The bound of the sample: texts, those with the smallest hash of id, language and text.
+    #: The bound of the sample that the first centres come from: texts, those with the smallest hash of id, language and text.
     max_rows: int = 2000
+    #: So many languages, those with most texts, have a mean of their own; all other texts take off the mean of all.
+    languages: int = 256
     rounds: int = 50
     seed: int = 3
 
@@ -33,7 +39,7 @@ class Params:
 @dataclass(frozen=True)
 class Model:
     rarity: np.ndarray
-    #: The mean vector of each language of the sample, and of the whole sample for others (None).
+    #: The mean vector of each language, and of all texts for others (None).
     means: dict[str | None, np.ndarray]
     centers: np.ndarray
     params: Params
@@ -76,38 +82,153 @@ def cluster(x: np.ndarray, p: Params) -> np.ndarray:
     return centers[np.argsort(-sizes, kind="stable")]
 
 
+def _flat(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers in a column of binaries, one after the other, and how many each row has."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1] // np.dtype(kind).itemsize
+    data = column.buffers()[2]
+    return (np.frombuffer(data, kind)[ends[0] : ends[-1]] if data is not None else np.zeros(0, kind)), np.diff(ends)
+
+
+def _dense(at: pa.Array, x: pa.Array, buckets: int) -> np.ndarray:
+    places, each = _flat(at, np.uint16)
+    out = np.zeros((len(at), buckets), np.float32)
+    out[np.repeat(np.arange(len(at)), each), places] = _flat(x, np.int16)[0]
+    return out
+
+
+def _counted(rows: DataFrame, p: Params) -> DataFrame:
+    """(key, lang, at, n): the buckets that a text's words fall in, and how many do."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, n = [], []
+            for x in batch.column(2).cast(pa.large_binary()):
+                counts = word_counts(x.as_py(), p)
+                found = np.flatnonzero(counts)
+                at.append(found.astype(np.uint16).tobytes())
+                n.append(counts[found].astype(np.int32).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(at, pa.binary()), pa.array(n, pa.binary())], ["key", "lang", "at", "n"])
+
+    return stash(rows.mapInArrow(count, "key long, lang string, at binary, n binary"), "topic-counts")
+
+
+def _vectors(counted: DataFrame, rarity: np.ndarray) -> DataFrame:
+    """(key, lang, at, x): the components in whole steps."""
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (places, each), (n, _) = _flat(batch.column(2), np.uint16), _flat(batch.column(3), np.int32)
+            x = np.log1p(n) * rarity[places]
+            starts = np.cumsum(each) - each
+            lengths = np.sqrt(np.add.reduceat(x * x, starts)) if len(each) else np.zeros(0)  # each text has words
+            steps = np.rint(x / np.repeat(lengths, each) * SCALE).astype(np.int16)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([s.tobytes() for s in np.split(steps, starts[1:])], pa.binary())], ["key", "lang", "at", "x"])
+
+    return stash(counted.mapInArrow(weigh, "key long, lang string, at binary, x binary"), "topic-vectors")
+
+
+def _summed(rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[int, np.ndarray]]], width: int) -> dict[int, np.ndarray]:
+    """What ``run`` gives per task, (part, sums), added up by part on the executors."""
+    schema = "part long, sums binary"
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, sums in run(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([sums.astype(np.int64).tobytes()], pa.binary())], ["part", "sums"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, name = np.zeros(width, np.int64), None
+        for batch in batches:
+            for part, sums in zip(batch.column(0), batch.column(1), strict=True):
+                name, total = part.as_py(), total + np.frombuffer(sums.as_py(), np.int64)
+        if name is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["part", "sums"])
+
+    add.__annotations__ = {"batches": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}
+    found = rows.mapInArrow(each, schema).groupBy("part").applyInArrow(add, schema).toArrow()
+    return {part.as_py(): np.frombuffer(sums.as_py(), np.int64) for part, sums in zip(found.column("part"), found.column("sums"), strict=True)}
+
+
+def _texts_by_bucket(counted: DataFrame, p: Params) -> np.ndarray:
+    """How many texts hold a word of each bucket, and last how many there are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+        total = np.zeros(p.buckets + 1, np.int64)
+        for batch in batches:
+            total[:-1] += np.bincount(_flat(batch.column(0), np.uint16)[0], minlength=p.buckets)
+            total[-1] += batch.num_rows
+        yield 0, total
+
+    return _summed(counted.select("at"), run, p.buckets + 1).get(0, np.zeros(p.buckets + 1, np.int64))
+
+
+def _totals(vectors: DataFrame, langs: dict[str, int], means: np.ndarray | None, centers: np.ndarray | None, p: Params) -> dict[int, np.ndarray]:
+    """The sum of the vectors, and last their number, of each language (``means`` and ``centers`` None) or, less the means,
+    of those nearest to each centre; the first of equally near ones."""
+    kinds = len(langs) + 1 if centers is None else len(centers)
+    if centers is not None:
+        means, across, half = means.astype(np.float32), centers.T.astype(np.float32), (centers * centers).sum(axis=1) / 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+        total = np.zeros((kinds, p.buckets + 1), np.int64)
+        for batch in batches:
+            for start in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(start, BLOCK)
+                x, of = _dense(part.column(1), part.column(2), p.buckets), np.array([langs.get(v, len(langs)) for v in part.column(0).to_pylist()])
+                if centers is not None:
+                    x -= means[of]
+                    of = (x @ across - half).argmax(axis=1)
+                used, at = np.unique(of, return_inverse=True)
+                total[used, :-1] += (np.eye(len(used), dtype=np.float32)[:, at] @ x).astype(np.int64)
+                total[used, -1] += np.bincount(at, minlength=len(used))
+        for k in np.flatnonzero(total[:, -1]):
+            yield int(k), total[k]
+
+    return _summed(vectors.select("lang", "at", "x"), run, p.buckets + 1)
+
+
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", params: Params = Params()) -> Model:
-    """Learn from at most ``max_rows`` texts that hold words; which ones follows from the rows alone, not their order.
+    """Learn from every text that holds words; repeated rows count as often as they are there. The model follows from the
+    rows alone, not their order: sums are of whole numbers.
 
-    Rows that agree in id, language and text count once. A table without words gives one topic. The driver gets
-    ``max_rows`` rows of ``4 * buckets`` bytes.
+    Texts' buckets are written once and read again each round; a task sends a row of ``8 * buckets`` bytes per centre (or
+    language), added up before the driver gets them. Rounds end when no centre moves by a step of 1 / SCALE, or after
+    ``rounds``. A table without words gives one topic. The driver gets ``max_rows`` vectors for the first centres.
     """
     p = params
+    if not 0 < p.buckets <= 1 << 16:
+        raise ValueError("buckets must be between 1 and 65536")
     bounded_batches(docs.sparkSession)
     rows = docs.select(
         F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{lang_col}`"), F.col(f"`{text_col}`")).alias("key"), F.col(f"`{lang_col}`").alias("lang"),
         F.col(f"`{text_col}`").alias("text"),
     )
-    rows = rows.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    last = rows.select("key").orderBy("key").limit(p.max_rows).agg(F.max("key")).first()[0]
+    counted = _counted(rows.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]")), p)
+    texts = _texts_by_bucket(counted, p)
+    rarity = np.log((1 + texts[-1]) / (1 + texts[:-1])) + 1
+    if not texts[-1]:
+        return Model(rarity, {None: np.zeros(p.buckets)}, np.zeros((1, p.buckets)), p)
+    vectors = _vectors(counted, rarity)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(2).cast(pa.large_binary())
-            counts = [word_counts(x.as_py(), p).astype(np.int32).tobytes() for x in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.binary())], ["key", "lang", "counts"])
-
-    sample = rows.filter(F.col("key") <= F.lit(last)) if last is not None else rows.limit(0)
-    found = sample.mapInArrow(count, "key long, lang string, counts binary").dropDuplicates(["key"]).toArrow().sort_by("key")
-    langs = found.column("lang").to_pylist()
-    counts = np.stack([np.frombuffer(x.as_py(), np.int32) for x in found.column("counts")]) if langs else np.zeros((0, p.buckets), np.int32)
-    rarity = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1
-    x = _unit(counts, rarity)
-    means: dict[str | None, np.ndarray] = {None: x.mean(axis=0) if len(x) else np.zeros(p.buckets)}
-    for lang in sorted({v for v in langs if v is not None}):
-        means[lang] = x[[v == lang for v in langs]].mean(axis=0)
-    x -= np.stack([means.get(v, means[None]) for v in langs]) if langs else 0
-    return Model(rarity, means, cluster(x, p), p)
+    by_size = counted.filter("lang IS NOT NULL").groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(p.languages)
+    langs = {r.lang: i for i, r in enumerate(by_size.collect())}
+    last = len(langs)  # stands for all other languages
+    sums = _totals(vectors, langs, None, None, p)
+    means = np.zeros((last + 1, p.buckets))
+    for i, total in [*sums.items(), (last, np.sum(list(sums.values()), axis=0))]:
+        means[i] = np.rint(total[:-1] / total[-1])
+
+    key = vectors.select("key").orderBy("key").limit(p.max_rows).agg(F.max("key")).first()[0]
+    first = vectors.filter(F.col("key") <= F.lit(key)).dropDuplicates(["key"]).toArrow().sort_by("key").to_batches()
+    x = np.concatenate([_dense(b.column("at"), b.column("x"), p.buckets) - means[[langs.get(v, last) for v in b.column("lang").to_pylist()]] for b in first])
+    centers, sizes = np.rint(cluster(x / SCALE, p) * SCALE), None
+    for _ in range(p.rounds):
+        new, sizes = centers.copy(), np.zeros(len(centers), np.int64)
+        for k, total in _totals(vectors, langs, means, centers, p).items():
+            new[k], sizes[k] = np.rint(total[:-1] / total[-1]), total[-1]
+        if (new == centers).all():
+            break
+        centers = new
+    return Model(rarity, {None: means[last] / SCALE, **{v: means[i] / SCALE for v, i in langs.items()}}, centers[np.argsort(-sizes, kind="stable")] / SCALE, p)
 
 
 def assign(docs: DataFrame, model: Model, *, text_col: str = "text", lang_col: str = "lang", keep_text: bool = True) -> DataFrame:

@@ -143,6 +143,30 @@ def test_topics_equal_brute_force_and_ignore_row_order(spark):
     assert topics.fit(df.filter("doc_id = 500")).centers.shape[0] == 1
 
 
+def test_topics_are_fitted_on_all_texts(spark):
+    """Also on words, languages and texts beyond the sample of the first centres."""
+    rng = np.random.default_rng(8)
+    words = {k: [f"{k}{j}" for j in range(20)] for k in "ab"}
+    rows = [(i, " ".join(rng.choice(words["ab"[i % 2]], 25)), ["en", "de", None][i % 3]) for i in range(200)] + [(900, "late words only here", "fi")] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    p = topics.Params(topics=2, buckets=64, max_rows=5)
+    model = topics.fit(df, params=p)
+    counts = np.stack([topics.word_counts(text.encode(), p) for _, text, _ in rows])
+    assert np.allclose(model.rarity, np.log(203 / (1 + (counts > 0).sum(axis=0))) + 1)
+    x = np.log1p(counts) * model.rarity
+    x = np.rint(x / np.linalg.norm(x, axis=1, keepdims=True) * topics.SCALE)
+    said = [lang for *_, lang in rows]
+    assert set(model.means) == {"en", "de", "fi", None}
+    for lang in model.means:
+        assert (model.means[lang] * topics.SCALE == np.rint(x[[lang in (None, v) for v in said]].mean(axis=0))).all()
+    x = x / topics.SCALE - np.stack([model.means[v] for v in said])
+    at = ((x[:, None] - model.centers) ** 2).sum(axis=2).argmin(axis=1)
+    for k in range(2):  # no centre moves any more
+        assert (np.rint(x[at == k].mean(axis=0) * topics.SCALE) == model.centers[k] * topics.SCALE).all()
+    two = topics.fit(df.filter("doc_id < 900").repartition(5), params=topics.Params(topics=2, buckets=64, max_rows=5, languages=1))
+    assert set(two.means) == {"de" if said.count("de") > said.count("en") else "en" if said.count("en") > said.count("de") else "de", None}
+
+
 def sha(*parts):
     return hashlib.sha256("|".join(map(str, parts)).encode()).hexdigest()
 
