@@ -107,7 +107,9 @@ def _factor(raked: DataFrame, share: float) -> float:
     low, high, wanted = 0.0, 1 / known.least, share * known.tokens
     for _ in range(_PASSES):
         tried = [low + (high - low) * k / _TRIED for k in range(1, _TRIED + 1)]
-        drawn = raked.agg(*[F.sum(F.least(F.col("tokens").cast("double"), F.lit(c) * F.col("weight"))).alias(f"c{k}") for k, c in enumerate(tried)]).first()
+        each = raked.select("tokens", "weight", F.posexplode(F.array(*map(F.lit, tried))).alias("k", "c"))
+        sums = each.groupBy("k").agg(F.sum(F.least(F.col("tokens").cast("double"), F.col("c") * F.col("weight"))).alias("drawn"))
+        drawn = [r.drawn for r in sums.orderBy("k").collect()]
         at = next((k for k in range(_TRIED) if drawn[k] >= wanted), _TRIED - 1)
         low, high = (tried[at - 1] if at else low), tried[at]
     return high
@@ -162,10 +164,14 @@ def mix(
         told = plain.select("*", F.coalesce(topic, F.lit(NONE)).alias("topic"), words(text_of(text_col)).alias("n_tokens"))
         rows, narrow = (told if keep_text else told.drop(text_col)), told
     else:
-        model = topics.fit(plain, id_col=id_col, text_col=text_col, lang_col=lang_col)
-        rows = topics.assign(plain, model, text_col=text_col, lang_col=lang_col, keep_text=keep_text)
-        needed = list(dict.fromkeys((source_col, lang_col, text_col)))
-        narrow = topics.assign(plain.select(*needed), model, text_col=text_col, lang_col=lang_col, keep_text=False)
+        needed = list(dict.fromkeys((source_col, lang_col))) if keep_text else [c for c in kept if c != text_col]
+        counts = topics.count(plain, needed, id_col=id_col, text_col=text_col, lang_col=lang_col)
+        model = topics.fit_counts(counts)
+        narrow = topics.assign_counts(counts, model)
+        if keep_text:
+            rows = topics.assign(plain, model, text_col=text_col, lang_col=lang_col)
+        else:
+            rows = narrow = stash(narrow, "topic-labels")
     key = {"source": F.coalesce(F.col(source_col), F.lit(NONE)), "lang": F.coalesce(F.col(lang_col), F.lit(NONE)), "topic": F.col("topic")}
     tokens = F.greatest(F.col("n_tokens"), F.lit(1))
     cells = stash(narrow.groupBy(*[c.alias(m) for m, c in key.items()]).agg(F.sum(tokens).alias("tokens")), "cells")

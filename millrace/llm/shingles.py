@@ -40,25 +40,30 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _chunk_words(data: np.ndarray) -> np.ndarray:
-    """Hashes of the words of a piece of text, A-Z lowered."""
+def _chunk_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a piece of text begin, and their hashes, A-Z lowered."""
     apart = np.ones(len(data) + 2, bool)
     apart[1:-1] = _SEPARATOR[data]
     edge = np.flatnonzero(apart[1:] != apart[:-1])
     start, end = edge[0::2], edge[1::2]
     if not len(start):
-        return np.zeros(0, np.uint64)
+        return start, np.zeros(0, np.uint64)
     up, down = _powers(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_VALUES[data] * up, out=sums[1:])
-    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    return start, mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def placed_words(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text of less than 2**18 bytes begin, and the hashes that ``word_hashes`` gives."""
+    return _chunk_words(np.frombuffer(text, np.uint8))
 
 
 def word_hashes(text: bytes) -> np.ndarray:
     """Hashes of all words of the text, which is read in pieces that end between words."""
     data = np.frombuffer(text, np.uint8)
     if len(data) <= _CHUNK:
-        return _chunk_words(data)
+        return _chunk_words(data)[1]
     out, at = [], 0
     while at < len(data):
         end = min(at + _CHUNK, len(data))
@@ -69,7 +74,7 @@ def word_hashes(text: bytes) -> np.ndarray:
             else:
                 later = np.flatnonzero(_SEPARATOR[data[end:]])
                 end = end + int(later[0]) if len(later) else len(data)
-        out.append(_chunk_words(data[at:end]))
+        out.append(_chunk_words(data[at:end])[1])
         at = end
     return np.concatenate(out)
 

@@ -167,6 +167,49 @@ def test_topics_are_fitted_on_all_texts(spark):
     assert set(two.means) == {"de" if said.count("de") > said.count("en") else "en" if said.count("en") > said.count("de") else "de", None}
 
 
+def test_texts_are_hashed_once_for_topics(spark):
+    """By an operator that returns no texts; twice where they are returned. Rounds and topics are made from what was counted."""
+    rows = [(i, f"s{i % 3}", "en" if i % 2 else "de") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string").repartition(2)
+    for keep_text, times in ((False, 1), (True, 2)):
+        read = spark.sparkContext.accumulator(0)
+
+        def text(i, read=read):
+            read.add(1)
+            return " ".join(f"{'ab'[i % 2]}{(i * j) % 11}" for j in range(1, 20))
+
+        out = mixing.mix(docs.withColumn("text", F.udf(text, "string").asNondeterministic()("doc_id")), keep_text=keep_text, share=0.5).collect()
+        assert len(out) == len(rows) and all(r.n_tokens == 19 and r.topic != "empty" and r.prob is not None for r in out)
+        assert read.value == times * len(rows)
+
+
+def test_topics_from_counts_equal_brute_force(spark):
+    """Also with components above 255, several pages of buckets, texts longer than are hashed together, and no words."""
+    rng = np.random.default_rng(9)
+    words = {k: [f"{k}{j}" for j in range(150)] for k in "abc"}
+    rows = [(i, " ".join(rng.choice(words["abc"[i % 3]], int(rng.integers(1, 60)))), ["en", "de", None][int(rng.integers(3))]) for i in range(300)]
+    rows += [(400, None, "en"), (401, "", None), (402, " \n", "de"), (403, "a1", "fr"), (404, "b7 B7 " * 9000 + "c1" * 20_000, "en"), (405, "x" * 300_000 + " a1", "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    p = topics.Params(topics=3, buckets=600, max_rows=50)
+    counts = np.stack([topics.word_counts((text or "").encode(), p) for _, text, _ in rows])
+    counted = topics.count(df, ["doc_id", "lang"], params=p)
+    model = topics.fit_counts(counted)
+    x = np.log1p(counts) * model.rarity
+    x = np.rint(x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12) * topics.SCALE)
+    assert x.max() > 255
+    some = counts.any(axis=1)
+    for lang in model.means:
+        assert (model.means[lang] * topics.SCALE == np.rint(x[some & [lang in (None, v) for _, _, v in rows]].mean(axis=0))).all()
+    x -= np.stack([model.means[v] for _, _, v in rows]) * topics.SCALE
+    centers = model.centers * topics.SCALE
+    at = (x @ centers.T - (centers * centers).sum(axis=1) / 2).argmax(axis=1)
+    for k in range(len(centers)):  # no centre moves any more
+        assert (np.rint(x[some & (at == k)].mean(axis=0)) == centers[k]).all()
+    want = {i: (f"t{k}" if n else "empty", n) for (i, *_), k, n in zip(rows, at, counts.sum(axis=1).tolist(), strict=True)}
+    for out in (topics.assign_counts(counted, model), topics.assign(df, model), topics.assign(df.repartition(9), model, keep_text=False)):
+        assert {r.doc_id: (r.topic, r.n_tokens) for r in out.collect()} == want
+
+
 def sha(*parts):
     return hashlib.sha256("|".join(map(str, parts)).encode()).hexdigest()
 
