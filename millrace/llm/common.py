@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +57,21 @@ def stash(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_FREED_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of a query that runs in here are deleted when it ends, not when the driver happens to collect its
+    garbage: for large shuffles, one after the other."""
+    before = spark.conf.get(_FREED_CONF)
+    spark.conf.set(_FREED_CONF, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_FREED_CONF, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """checkpoint() into the shared folder, for small tables that a loop carries from round to round."""
     shared_dir(df.sparkSession)

@@ -212,6 +212,63 @@ def test_caps_of_a_vector_do_not_depend_on_its_batch():
         assert sorted(want) == got.tolist()
 
 
+def test_caps_of_many_vectors_stay_few():
+    """For 15 million vectors: rows sent for each, and pairs of a cap that have no more in common than it but pass the sketches."""
+    d, n, p = 64, 15_000_000, embed_caps.Params()
+    code = embed_caps.plan(n, d, p)
+    caps = embed_caps.Caps(n, {d: code}, p)
+    x = np.random.default_rng(6).normal(size=(2, 20_000, d))
+    x /= np.linalg.norm(x, axis=2, keepdims=True)
+    assert np.mean([len(c) for c in caps.of(x[0, :300])]) <= 64
+    x[:, :, 0] = 0
+    x *= np.sqrt(1 - code.height**2) / np.linalg.norm(x, axis=2, keepdims=True)
+    x[:, :, 0] = code.height
+    apart = np.bitwise_count((caps.signs(x[0]) ^ caps.signs(x[1])).view(np.uint64)).sum(axis=1)
+    assert np.mean(apart <= embed_caps.most_apart(p)) <= 1e-4
+
+
+def test_labels_of_buckets_equal_brute_force():
+    """Small buckets side by side and one that is searched row by row: near rows of a bucket share a label."""
+    rng = np.random.default_rng(8)
+    p = embed_caps.Params()
+    signs = rng.integers(0, 2**63, size=(3_000, embed_caps.SIGNS // 64), dtype=np.uint64)
+    for i in range(1, 2_000):  # copies of earlier rows, more and more apart
+        if i % 3:
+            flips = rng.random(embed_caps.SIGNS) < 0.2 * i / 2_000
+            signs[i] = signs[i - 1 - int(rng.integers(min(i, 3)))] ^ np.packbits(flips).view(np.uint64)
+    entries = np.zeros(3_000, embed_caps.ENTRY)
+    entries["rep"], entries["signs"] = rng.permutation(3_000), signs
+    entries["key"] = np.where(np.arange(3_000) < 1_200, 0, rng.integers(1, 90, 3_000))
+    most, want = embed_caps.most_apart(p), set()
+    first = embed_caps.FIRST_SIGNS // 64
+    for key in range(90):
+        rows = np.flatnonzero(entries["key"] == key)
+        both = np.bitwise_count(signs[rows][:, None] ^ signs[rows][None])
+        near = (both.sum(axis=2) <= most) & (both[:, :, :first].sum(axis=2) <= embed_caps.most_apart(p, embed_caps.FIRST_SIGNS))
+        np.fill_diagonal(near, False)
+        reps = entries["rep"][rows].tolist()
+        label = brute_components(reps, [(reps[a], reps[b]) for a, b in zip(*np.nonzero(near), strict=True)])
+        want |= {(label[r], r) for r, linked in zip(reps, near.any(axis=1).tolist(), strict=True) if linked}
+    label, rep = embed_caps.near_labels(entries[rng.permutation(3_000)], p)
+    assert set(zip(label.tolist(), rep.tolist(), strict=True)) == want and len(want) == len(rep) > 1_000
+
+
+def test_large_caps_in_parts_give_the_same(spark, monkeypatch):
+    """Caps dealt out in parts, in rounds of few codes and with contained labels left out: links and components as before."""
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.normal(size=(300, 16)), rng.normal(size=16) + rng.normal(size=(200, 16)) * 0.1])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    linked = x @ x.T >= 0.9
+    np.fill_diagonal(linked, False)
+    comp = brute_components(range(len(x)), zip(*np.nonzero(linked), strict=True))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(embed_caps, "SPLIT", 40)
+    monkeypatch.setattr(embed_caps, "LEAST_ROUND", 1 << 18)
+    out = {r.vec_id: r for r in embed_caps.near_components(df).collect()}
+    assert all(out[i].n_links <= linked[i].sum() for i in out) and sum(r.n_links for r in out.values()) >= 0.998 * linked.sum()
+    assert np.mean([out[i].component_id == comp[i] for i in out]) > 0.99
+
+
 def test_clashing_columns_change_nothing(spark):
     from millrace.llm import exact_dedup
 
