@@ -39,7 +39,7 @@ ALL_PAIRS = 512
 #: A cap that holds more vectors by the sample is dealt out in parts of so many, each two of which meet.
 SPLIT = 16_384
 #: Bytes of the rows of caps that one task compares, and that one round sends for each byte of the vectors at most.
-TASK_BYTES, ROUND_SHARE = 24 << 20, 3.0
+TASK_BYTES, ROUND_SHARE = 24 << 20, 2.5
 #: A round of fewer bytes is not worth its jobs.
 LEAST_ROUND = 256 << 20
 #: A vector in a cap: the cap (and the part of a cap that is dealt out), the vector's id and its sketch.
@@ -217,6 +217,11 @@ def _matrix(column: pa.Array, rows: np.ndarray | None = None) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+@functools.lru_cache(maxsize=16)
+def _planes(seed: int, d: int) -> np.ndarray:
+    return np.random.default_rng([seed, 1 << 20, d]).normal(size=(d, SIGNS)).astype(np.float32)
+
+
 class Caps:
     """The codes of each vector length, made when first needed, and the caps of vectors."""
 
@@ -244,8 +249,7 @@ class Caps:
 
     def signs(self, unit: np.ndarray) -> np.ndarray:
         """(vectors, 8) longs: the sides of SIGNS random planes that each vector lies on."""
-        planes = np.random.default_rng([self.p.seed, 1 << 20, unit.shape[1]]).normal(size=(unit.shape[1], SIGNS))
-        return np.ascontiguousarray(np.packbits(unit @ planes > 0, axis=1)).view(np.int64)
+        return np.packbits(unit.astype(np.float32) @ _planes(self.p.seed, unit.shape[1]) > 0, axis=1).view(np.int64)
 
 
 def most_apart(p: Params, signs: int = SIGNS) -> int:
@@ -552,7 +556,7 @@ def sampled(reps: DataFrame, p: Params) -> dict[int, np.ndarray]:
 def near_in_caps(reps: DataFrame, n: int, p: Params) -> DataFrame:
     """(d, cap, rep): the n vectors that share a cap with one of a near sketch, with their labels as ``cap``.
 
-    Rounds over some of the codes each keep the rows that are shuffled at once within the size of the vectors.
+    Rounds over some of the codes each keep the rows that are shuffled at once within ROUND_SHARE times the vectors.
     """
     spark = reps.sparkSession
     samples = sampled(reps, p)
@@ -561,7 +565,7 @@ def near_in_caps(reps: DataFrame, n: int, p: Params) -> DataFrame:
     tried = sum(len(x) for x in samples.values())
     sent = n * ENTRY.itemsize * sum(len(caps.found(x, tuple(range(p.codes)))[0]) for x in samples.values()) / max(1, tried)
     vectors = n * 4 * sum(x.size for x in samples.values()) / max(1, tried)
-    rounds = min(p.codes, max(1, round(sent / max(ROUND_SHARE * vectors, LEAST_ROUND))))
+    rounds = min(p.codes, int(sent / max(ROUND_SHARE * vectors, LEAST_ROUND)) + 1)
     parts = max(shuffle_partitions(spark), int(sent / rounds / TASK_BYTES) + 1)
     near = []
     for k in range(rounds):
